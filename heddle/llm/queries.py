@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heddle.functions.tables import table
-from heddle.llm import lines, similar
+from heddle.llm import lines, similar, truncation
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -30,6 +30,18 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return similar.groups(*similar.similar_pairs(table(spark, d, "items"), "id", _item_text(), threshold=0.5, shingle=3))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncated(table(spark, d, "items")).where("is_cut").select("item_id", "field")
+
+
+def p4_rates(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.truncation_rates(table(spark, d, "items"))
+
+
+def p4_limits(spark: SparkSession, d: str) -> DataFrame:
+    return truncation.hidden_limits(table(spark, d, "items"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
