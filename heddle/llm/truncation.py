@@ -23,7 +23,8 @@ MIN_PILE, DEVIATIONS, KNOWN_LINE, KNOWN_WORD = 5, 6, 5, 3
 
 
 def _count(text: F.Column, chars: str) -> F.Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
+    """How many of ``chars`` (ASCII) stand in ``text``."""
+    return sum((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c))) for c in chars), F.lit(0))
 
 
 def lengths(text: F.Column) -> dict[str, F.Column]:
