@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from heddle.functions.tables import table
+from heddle.operators import packed
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return packed.unpacked(table(spark, d, "items"), "id", "authors").where("n_values > 1").select("item_id", "pos", F.col("value").alias("author"))
+
+
+def p2_dialects(spark: SparkSession, d: str) -> DataFrame:
+    """How many fields and values each dialect parsed."""
+    first = packed.unpacked(table(spark, d, "items"), "id", "authors").where("pos = 1")
+    return first.groupBy("dialect").agg(F.count("*").alias("n_fields"), F.sum("n_values").alias("n_values"))
+
 
 def queries() -> dict:
-    return {}
+    return {"p2_found": p2_found, "p2_dialects": p2_dialects}
 
 
 def oracle_sql() -> dict[str, str]:
