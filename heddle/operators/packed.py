@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import ast
 import functools
-import html
 import json
 import math
 import re
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 MIN_SHARE = 1e-4  # a word or shape at least so frequent in its place is in the code table: at most 1 / MIN_SHARE a place
 MAX_SPAN = 6  # pieces between delimiters that one unquoted value may hold
+AMP = "\ue000"  # stands for an escaped & while a field is parsed
 SPLIT_BITS, LETTER_BITS, FALLBACK_BITS, LITERAL_BITS, REVERSED_BITS = 1.0, 4.5, 14.0, 25.0, 5.0
 
 # Words that tell an organisation, words between a family name's parts, titles and degrees.
@@ -30,15 +30,15 @@ ORG = {"association", "assn", "board", "bureau", "center", "centre", "club", "co
 PARTICLE = {"al", "bin", "da", "de", "del", "della", "den", "der", "di", "dos", "du", "el", "ibn", "la", "le", "ten", "ter", "van", "von"}
 SUFFIX = {"jr", "sr", "ii", "iii", "iv", "phd", "md", "esq", "dphil", "msc"}
 TITLE = {"prof", "dr", "professor", "mr", "mrs", "ms", "sir", "dame", "rev"}
-JOINING = {"for", "of", "on", "and", "the", "in", "to", "&", "und", "with"}
+JOINING = {"for", "of", "on", "and", "the", "in", "to", "&", AMP, "und", "with"}
 
 LEAD = re.compile(r"^\s*by\b:?\s+", re.I)
 TAIL = re.compile(r"[\s,;·|/&]*(?:\band\s+)?\bet\.?\s+al\b\.?\s*$", re.I)
 STRONG = re.compile(r"[;|·•\t\n\r]+")
-WEAK = re.compile(r"\s*,\s*and\b(?=\s)|\s*,\s*&(?=\s)|\s*,\s*|\s+&\s+|\s+/\s*|\s*/\s+|/|\s+(?:and|AND|with|WITH)\s+", re.U)
+WEAK = re.compile(r"\s*,\s*and\b(?=\s)|\s*,\s*[&\ue000](?=\s)|\s*,\s*|\s+[&\ue000]\s+|\s+/\s*|\s*/\s+|/|\s+(?:and|AND|with|WITH)\s+", re.U)
 QUOTED = re.compile(r"\"((?:[^\"\\]|\\.|\"\")*)\"", re.S)
 PERSON = re.compile(r"(?:[tp]*F+C[tpGI]+|[^C]*)(?:C?s)*$")
-TOKEN = re.compile(r"[^\W\d_]+(?:[’'\-][^\W\d_]+)*\.?|\d+|&|,", re.U)
+TOKEN = re.compile(r"[^\W\d_]+(?:[’'\-][^\W\d_]+)*\.?|\d+|[&\ue000]|,", re.U)
 
 
 def shape(value: str) -> tuple[str, list[tuple[str, str]]]:
@@ -160,10 +160,9 @@ def parse(text: str | None, code: Code) -> tuple[str, list[str]]:
     listed = _listed(text)
     if listed is not None:
         return "list", [v.strip() for v in listed if v.strip()]
-    body = text
-    if "&amp;" in body or "&#" in body or "&quot;" in body:
-        body = html.unescape(body)
-    body = TAIL.sub("", LEAD.sub("", body))
+    body = text.replace(AMP, " ")
+    # an escaped & parts values as & does; one within a name stays as typed
+    body = TAIL.sub("", LEAD.sub("", body.replace("&amp;", AMP)))
     # quoted values are whole; what stands between them is parsed on its own
     if '"' in body and QUOTED.search(body):
         values, at = [], 0
@@ -175,6 +174,7 @@ def parse(text: str | None, code: Code) -> tuple[str, list[str]]:
             at = m.end()
         else:
             values += parse(body[at:].strip(" \t\r\n,;|·/&"), code)[1]
+            values = [v.replace(AMP, "&amp;") for v in values]
             return "quoted", [v for v in values if v]
     if STRONG.search(body):
         values, kinds = [], set()
@@ -198,7 +198,7 @@ def _plain(text: str, code: Code) -> tuple[str, list[str]]:
 
 
 def _clean(value: str) -> str:
-    return TAIL.sub("", LEAD.sub("", value)).strip().strip("\xa0,;|·&").strip()
+    return TAIL.sub("", LEAD.sub("", value)).strip().strip("\xa0,;|·&" + AMP).strip().replace(AMP, "&amp;")
 
 
 def _counts(batches: Iterator[pd.DataFrame], known: dict) -> Iterator[pd.DataFrame]:
@@ -230,15 +230,14 @@ def learned_code(df: DataFrame, field: str, min_share: float = MIN_SHARE) -> Cod
     return Code(table if ("S", None) in table else PRIOR)
 
 
-def unpacked(df: DataFrame, id_col: str, field: str, min_share: float = MIN_SHARE) -> DataFrame:
+def unpacked(df: DataFrame, id_col: str, field: str, min_share: float = MIN_SHARE, code: Code | None = None) -> DataFrame:
     """``item_id, pos, n_values, dialect, value``: one row per value of each field, pos from 1.
 
     A null, "" or blank field has no rows; a field of one value has one. A leading "By", a closing "et al." and empty slots are
     no values. Values are as typed, without delimiters, outer white space, enclosing quotes or brackets, escapes undone. Ties go to
     the dialect that parts less. Repeated rows give repeated rows. A text of any length is parsed whole, in time linear in its delimiters.
     """
-    code = learned_code(df, field, min_share)
-    counts = code.counts
+    counts = (code or learned_code(df, field, min_share)).counts
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mine = Code(counts)
