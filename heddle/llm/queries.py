@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heddle.functions.tables import table
-from heddle.llm import lines, similar, truncation
+from heddle.llm import lines, names, similar, truncation
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -42,6 +42,14 @@ def p4_limits(spark: SparkSession, d: str) -> DataFrame:
     return truncation.hidden_limits(table(spark, d, "items"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.variants(table(spark, d, "items"), "id", "authors")
+
+
+def p5_entities(spark: SparkSession, d: str) -> DataFrame:
+    return names.entities(table(spark, d, "items"), "id", "authors")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
