@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heddle.functions.tables import table
-from heddle.llm import lines, names, similar, truncation
+from heddle.functions.tables import materialize, table
+from heddle.llm import leakage, lines, names, packing, similar, truncation
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -50,6 +50,24 @@ def p5_entities(spark: SparkSession, d: str) -> DataFrame:
     return names.entities(table(spark, d, "items"), "id", "authors")
 
 
+def p6_pack(spark: SparkSession, d: str) -> DataFrame:
+    sizes = materialize(packing.token_sizes(table(spark, d, "documents"), "doc_id", "text"))
+    return packing.packed(sizes, table(spark, d, "pack_targets"))
+
+
+def p6_filling(spark: SparkSession, d: str) -> DataFrame:
+    return packing.filling(p6_pack(spark, d), table(spark, d, "pack_targets"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaked(table(spark, d, "documents"), table(spark, d, "benchmark")).select("doc_id", "item_id")
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    items = table(spark, d, "benchmark")
+    return leakage.leak_report(leakage.leaked(table(spark, d, "documents"), items), items)
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
