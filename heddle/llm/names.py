@@ -20,7 +20,7 @@ from heddle.operators.packed import JOINING, ORG, PARTICLE, SUFFIX, TITLE, Code,
 GENERIC = {"staff", "editorial board", "editorial staff", "editorial team", "anonymous", "guest contributor", "guest author", "guest writer", "contributor", "contributors", "staff writer", "staff reporter", "admin", "administrator", "editor", "editors", "the editors", "unknown", "n a", "none", "various", "various authors", "author", "newsroom", "news desk", "wire service", "guest post", "correspondent", "our correspondent"}
 SHORT_WORDS = {"cncl": "council", "ctr": "center", "centre": "center", "lab": "laboratory", "inst": "institute", "fdn": "foundation", "assn": "association", "assoc": "association", "univ": "university", "dept": "department"}
 NICKNAMES = {
-    "abby": "abigail", "alex": "alexander alexandra", "ali": "alison", "andy": "andrew", "annie": "ann", "ana": "anastasia", "stacy": "anastasia", "tony": "anthony", "barb": "barbara", "becky": "rebecca", "becca": "rebecca", "ben": "benjamin", "benny": "benjamin", "bert": "albert robert", "beth": "elizabeth", "betty": "elizabeth", "bill": "william", "billy": "william", "bob": "robert", "bobby": "robert", "cathy": "catherine", "charlie": "charles", "chuck": "charles", "chris": "christopher christine", "cindy": "cynthia lucinda", "dan": "daniel", "danny": "daniel", "dave": "david", "deb": "deborah", "debbie": "deborah", "dick": "richard", "dima": "dmitri", "don": "donald", "ed": "edward", "eddie": "edward", "eliza": "elizabeth", "fran": "frances francisca", "frank": "francis francisco", "fred": "frederick", "freddie": "frederick", "fritz": "frederick", "gabe": "gabriel", "gabby": "gabriela", "gabi": "gabriela", "geoff": "geoffrey", "greg": "gregory", "hank": "henry", "harry": "harold henry", "ike": "isaac", "jack": "john", "jake": "jacob", "jeff": "jeffrey", "jen": "jennifer", "jenny": "jennifer", "jerry": "gerald", "jim": "james", "jimmy": "james", "jo": "joanna josephine", "joe": "joseph", "joey": "joseph", "johnny": "john", "jon": "jonathan", "josh": "joshua", "kate": "katherine", "kathy": "katherine", "katie": "katherine", "kat": "katherine", "ken": "kenneth", "kim": "kimberly", "larry": "lawrence", "len": "leonard", "lenny": "leonard", "leo": "leonard", "liz": "elizabeth", "lizzie": "elizabeth", "lou": "louis", "lucy": "lucinda", "maggie": "margaret", "meg": "margaret", "peggy": "margaret", "mandy": "amanda", "marty": "martin", "matt": "matthew", "max": "maximilian", "mike": "michael", "mick": "michael", "mickey": "michael", "mia": "maria", "mitch": "mitchell", "nacho": "ignacio", "nancy": "ann", "ned": "edward", "nick": "nicholas", "nicky": "nicholas", "paco": "francisco", "pancho": "francisco", "pat": "patricia patrick", "patty": "patricia", "patsy": "patricia", "pepe": "jose", "pete": "peter", "phil": "philip", "pippa": "philippa", "ray": "raymond", "rick": "richard", "ricky": "richard", "rich": "richard", "rob": "robert", "robbie": "robert", "ron": "ronald", "rosie": "rosalind", "roz": "rosalind", "sam": "samuel samantha", "sammy": "samuel samantha", "sandy": "alexandra", "sasha": "alexander alexandra", "steve": "steven", "sue": "susannah susan", "susie": "susannah susan", "suzy": "susannah", "ted": "edward theodore", "teddy": "edward theodore", "theo": "theodore", "tess": "theresa", "tim": "timothy", "timmy": "timothy", "tina": "christina martina", "tom": "thomas", "tommy": "thomas", "tori": "victoria", "vicky": "victoria", "vic": "victor", "vince": "vincent", "walt": "walter", "wally": "walter", "will": "william", "willy": "william", "liam": "william", "xan": "alexander", "zach": "zachary", "zack": "zachary", "uli": "ulrich", "vanya": "ivan", "lena": "helena", "toni": "antonia", "manny": "manuel", "drew": "andrew", "dee": "delia", "cal": "callum", "cat": "catalina catherine", "lina": "catalina", "nessa": "vanessa", "tam": "tamsin",
+    "abby": "abigail", "alex": "alexander alexandra", "ali": "alison", "andy": "andrew", "annie": "ann", "ana": "anastasia", "stacy": "anastasia", "tony": "anthony", "barb": "barbara", "becky": "rebecca", "becca": "rebecca", "ben": "benjamin", "benny": "benjamin", "bert": "albert robert", "beth": "elizabeth", "betty": "elizabeth", "bill": "william", "billy": "william", "bob": "robert", "bobby": "robert", "cathy": "catherine", "charlie": "charles", "chuck": "charles", "chris": "christopher christine", "cindy": "cynthia lucinda", "dan": "daniel", "danny": "daniel", "dave": "david", "deb": "deborah", "debbie": "deborah", "dick": "richard", "dima": "dmitri", "don": "donald", "ed": "edward", "eddie": "edward", "eliza": "elizabeth", "fran": "frances francisca", "frank": "francis francisco", "fred": "frederick", "freddie": "frederick", "fritz": "frederick", "gabe": "gabriel", "gabby": "gabriela", "gabi": "gabriela", "geoff": "geoffrey", "greg": "gregory", "hank": "henry", "harry": "harold henry", "ike": "isaac", "jack": "john", "jake": "jacob", "jeff": "jeffrey", "jen": "jennifer", "jenny": "jennifer", "jerry": "gerald", "jim": "james", "jimmy": "james", "jo": "joanna josephine", "joe": "joseph", "joey": "joseph", "johnny": "john", "jon": "jonathan", "josh": "joshua", "kate": "katherine", "kathy": "katherine", "katie": "katherine", "kat": "katherine", "ken": "kenneth", "kim": "kimberly", "larry": "lawrence", "len": "leonard", "lenny": "leonard", "leo": "leonard", "liz": "elizabeth", "lizzie": "elizabeth", "lou": "louis", "lucy": "lucinda", "maggie": "margaret", "meg": "margaret", "peggy": "margaret", "mandy": "amanda", "marty": "martin", "matt": "matthew", "max": "maximilian", "mike": "michael", "mick": "michael", "mickey": "michael", "mia": "maria", "mitch": "mitchell", "nacho": "ignacio", "nancy": "ann", "ned": "edward", "nick": "nicholas", "nicky": "nicholas", "paco": "francisco", "pancho": "francisco", "pat": "patricia patrick", "patty": "patricia", "patsy": "patricia", "pepe": "jose", "pete": "peter", "phil": "philip", "pippa": "philippa", "ray": "raymond", "rick": "richard", "ricky": "richard", "rich": "richard", "rob": "robert", "robbie": "robert", "ron": "ronald", "rosie": "rosalind", "roz": "rosalind", "sam": "samuel samantha", "sammy": "samuel samantha", "sandy": "alexandra", "sasha": "alexander alexandra", "steve": "steven", "sue": "susannah susan", "susie": "susannah susan", "suzy": "susannah", "ted": "edward theodore", "teddy": "edward theodore", "theo": "theodore", "tess": "theresa", "tim": "timothy", "timmy": "timothy", "tina": "christina martina", "tom": "thomas", "tommy": "thomas", "tori": "victoria", "vicky": "victoria", "vic": "victor", "vince": "vincent", "walt": "walter", "wally": "walter", "will": "william", "willy": "william", "liam": "william", "xan": "alexander", "zach": "zachary", "zack": "zachary", "uli": "ulrich", "vanya": "ivan", "lena": "helena", "toni": "antonia", "manny": "manuel", "drew": "andrew", "dee": "delia", "cal": "callum", "cat": "catalina catherine", "lina": "catalina", "nessa": "vanessa", "tam": "tamsin", "seun": "oluwaseun", "nastya": "anastasia", "cata": "catalina", "peg": "margaret", "sandra": "alexandra", "jamie": "james", "trish": "patricia", "gus": "augustus", "hal": "henry",
 }
 WORD = re.compile(r"[^\W\d_]+(?:[’'\-][^\W\d_]+)*\.?|,", re.U)
 
@@ -72,7 +72,10 @@ def reading(name: str, code: Code) -> tuple[str, str, str, str]:
     if not fam:
         return "none", "", "", ""
     if words and given[0][1] == words[0]:
-        return "full", fam, words[0], letters
+        # Jean-Luc, Jean Luc and JeanLuc are one name, if the hyphened form is known
+        if len(words) > 1 and ("G", f"{words[0]}-{words[1]}") in code.counts:
+            words[:2], letters = [words[0] + words[1]], letters[:1] + letters[2:]
+        return "full", fam, words[0].replace("-", ""), letters
     return ("initial" if letters else "none"), fam, "", letters
 
 

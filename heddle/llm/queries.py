@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heddle.functions.tables import materialize, table
-from heddle.llm import leakage, lines, names, packing, similar, truncation
+from heddle.llm import leakage, lines, names, packing, similar, subjects, truncation
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -68,6 +68,18 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leak_report(leakage.leaked(table(spark, d, "documents"), items), items)
 
 
+def p8_posteriors(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.subject_posteriors(table(spark, d, "documents"), table(spark, d, "subject_labels"), table(spark, d, "subjects"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_posteriors(spark, d).where("assigned").select("doc_id", "subject").distinct()
+
+
+def p8_composition(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.composition(p8_posteriors(spark, d))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(v)}
 
