@@ -235,7 +235,7 @@ def unpacked(df: DataFrame, id_col: str, field: str, min_share: float = MIN_SHAR
 
     A null, "" or blank field has no rows; a field of one value has one. A leading "By", a closing "et al." and empty slots are
     no values. Values are as typed, without delimiters, outer white space, enclosing quotes or brackets, escapes undone. Ties go to
-    the dialect that parts less. Repeated rows give repeated rows. A text of any length is parsed whole, in time linear in its delimiters.
+    the dialect that parts less. Repeated rows give repeated rows, a null id a null item_id. A text of any length is parsed whole, in time linear in its delimiters.
     """
     counts = (code or learned_code(df, field, min_share)).counts
 
@@ -245,6 +245,7 @@ def unpacked(df: DataFrame, id_col: str, field: str, min_share: float = MIN_SHAR
             rows = [(i, p, len(v), k, x) for i, t in zip(b["item_id"], b["text"]) for k, v in [parse(t, mine)] for p, x in enumerate(v, 1)]
             yield pd.DataFrame(rows, columns=["item_id", "pos", "n_values", "dialect", "value"])
 
-    texts = df.select(F.col(id_col).alias("item_id"), F.col(field).alias("text")).where(F.length("text") > 0)
-    kind = texts.schema["item_id"].dataType.simpleString()
-    return texts.mapInPandas(run, f"item_id {kind}, pos bigint, n_values bigint, dialect string, value string")
+    kind = df.schema[id_col].dataType
+    texts = df.select(F.col(id_col).cast("string").alias("item_id"), F.col(field).alias("text")).where(F.length("text") > 0)
+    out = texts.mapInPandas(run, "item_id string, pos bigint, n_values bigint, dialect string, value string")
+    return out.withColumn("item_id", F.col("item_id").cast(kind))
