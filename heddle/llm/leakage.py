@@ -117,12 +117,12 @@ def leaked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
     """``doc_id, item_id, share, has_run``: the documents that hold RUN words in a row of a test item, or SHARE of its distinct three-word runs.
 
     Documents stay where they are and are read once; test items go to every task, MAX_ITEMS at a time, whatever the number of documents.
-    Null and "" texts hold nothing, in either table; an item of fewer than three words can't be found. Whole texts are read. A document or
+    Null and "" texts and rows without an id hold nothing, in either table; an item of fewer than three words can't be found. Whole texts are read. A document or
     item that comes twice has its pairs once.
     """
-    test = items.where(has_text(F.col(item_text))).select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).distinct()
+    test = items.where(has_text(F.col(item_text)) & F.col(item_id).isNotNull()).select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).distinct()
     parts = max(1, -(-test.count() // MAX_ITEMS))
-    rows = docs.where(has_text(F.col(text))).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.where(has_text(F.col(text)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     found = None
     for part in range(parts):
         held = test.where(F.pmod(F.xxhash64("i"), F.lit(parts)) == part).collect()

@@ -30,14 +30,14 @@ def encoder(folder: str, vocabulary: str = "byte_bpe_50k.tiktoken"):
 
 
 def token_sizes(docs: DataFrame, id_col: str, text: str, tokenizers: str = TOKENIZERS) -> DataFrame:
-    """``doc_id, n_tokens``: the tokens of each text; 0 for a null or "" one."""
+    """``doc_id, n_tokens``: the tokens of each text; 0 for a null or "" one. Rows without an id are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(tokenizers).encode_ordinary
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "n_tokens": [len(encode(t)) if t else 0 for t in b["text"]]})
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     return rows.mapInPandas(run, "doc_id bigint, n_tokens bigint")
 
 
@@ -101,7 +101,7 @@ def packed(sizes: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFram
     whole = F.when(F.col("n_tokens") > F.col("capacity"), F.floor((F.col("n_tokens") - 1) / F.col("capacity"))).otherwise(F.lit(0)).cast("bigint")
     items = items.withColumn("whole", whole).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
 
-    def run(key, b: pd.DataFrame) -> pd.DataFrame:
+    def run(b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values(["n_tokens", "doc_id"], kind="stable")
         capacity = int(b["capacity"].iloc[0])
         rest = (b["n_tokens"] - b["whole"] * capacity).tolist()

@@ -148,14 +148,14 @@ def subject_posteriors(docs: DataFrame, labels: DataFrame, subjects: DataFrame,
     documents: every sentence gets its subjects' posteriors under the document's own mixture of subjects, and the expected word counts, summed in
     Spark, make the next model. The model has FEATURES rows, so what comes to the driver and goes to the tasks doesn't grow with the documents.
     The share of sentences that treat a subject is turned into a posterior per subject by a logistic fitted to the labelled documents; a subject is
-    assigned from 0.5 up, and the likeliest one where none reaches it. Null and "" texts and texts without words have no rows; unknown
+    assigned from 0.5 up, and the likeliest one where none reaches it. Null and "" texts, texts without words and rows without an id have no rows; unknown
     labels and repeated ones count for nothing; without labels or subjects there are no rows. A doc_id that comes twice has a row for each.
     """
     names = [r[0] for r in subjects.where("subject is not null").select("subject").distinct().orderBy("subject").collect()]
     k = len(names)
     spark = docs.sparkSession
     schema = "doc_id bigint, subject string, share double, posterior double, assigned boolean"
-    rows = docs.where(has_text(F.col(text))).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.where(has_text(F.col(text)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     if not k:
         return spark.createDataFrame([], schema)
     number = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
