@@ -91,7 +91,7 @@ def truthy(c: Column) -> Column:
 def fenced_json(reply: Column) -> Column:
     """The text within a reply's first ```json fence, else its first ``` fence, else the whole. An unterminated fence runs to the end."""
     pick = lambda fence: F.regexp_extract(reply, r"(?s)" + fence + r"(.*?)(?:```|\z)", 1)
-    return F.trim(F.when(reply.contains("```json"), pick("```json")).when(reply.contains("```"), pick("```")).otherwise(reply))
+    return F.trim(F.when(reply.contains("```json"), pick("```json")).when(reply.contains("```"), pick("```")).otherwise(reply), F.lit(" \n\r\t"))
 
 
 def needs_abstract(abstract: Column, least: int = 50) -> Column:

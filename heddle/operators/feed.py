@@ -85,7 +85,8 @@ def unclassified(items: DataFrame, classifications: DataFrame, now, days: int, l
     at = day.cast("timestamp")
     open_ = items.where((at >= F.lit(now) - F.expr(f"interval {days} days")) & (at <= F.lit(now) + F.expr("interval 1 day")))
     out = open_.join(classifications.select(F.col("item_id").alias("id")), "id", "left_anti").withColumn("day", day)
-    return out.orderBy(F.col("day").desc_nulls_first(), "id").limit(limit) if limit else out
+    out = out.orderBy(F.col("day").desc_nulls_first(), "id")
+    return out.limit(limit) if limit else out
 
 
 def item_set_hash(df: DataFrame, group: list[str], id_col: str) -> DataFrame:

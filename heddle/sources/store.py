@@ -35,7 +35,11 @@ class Store:
         p = self._path(f"{table}/_current")
         if not self._fs.exists(p):
             return None
-        return json.loads(self.spark.read.text(str(p.toString())).first()[0])["version"]
+        stream = self._fs.open(p)
+        try:
+            return json.loads(stream.readLine())["version"]
+        finally:
+            stream.close()
 
     def read(self, table: str) -> DataFrame:
         """The current version; no rows before the first commit."""

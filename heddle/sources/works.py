@@ -20,7 +20,7 @@ def _parsed(replies: DataFrame, schema: str, path: str) -> DataFrame:
 
 
 def _joined(names: Column) -> Column:
-    return F.array_join(F.filter(names, lambda n: F.length(F.trim(n)) > 0), ", ")
+    return F.coalesce(F.array_join(F.filter(names, lambda n: F.length(F.trim(n)) > 0), ", "), F.lit(""))
 
 
 def _address(doi: Column) -> Column:
