@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from heddle.functions.tables import has_text
 
-MIN_ITEMS, MIN_SHARE, FALSE_DISCOVERY = 5, 0.10, 0.01
+MIN_ITEMS, MIN_SHARE, FALSE_DISCOVERY = 5, 0.10, 0.05
 
 
 def line_key(line: F.Column) -> F.Column:
@@ -28,7 +28,7 @@ def excessive_lines(items: DataFrame, id_col: str = "id", text: str = "content",
     ``min_share`` of its source's items is a candidate; each is tested by the log-likelihood ratio of its rate within the
     source against its rate outside. Outside are the sources in which the same line isn't itself a candidate, so that a
     notice which many sites use isn't excused by the others; a pseudo-count at the mean rate of all lines stands for a line
-    that is nowhere else. Benjamini and Hochberg's step-up over all (source, line) pairs, read off a histogram of the ratios,
+    that is nowhere else. Benjamini and Hochberg's step-up over the (source, line) pairs with enough items, read off a histogram of the ratios,
     keeps the share of false discoveries below ``q``.
 
     A null source counts as a source of its own. Items without text count for nothing. An empty table gives no lines.
@@ -38,8 +38,8 @@ def excessive_lines(items: DataFrame, id_col: str = "id", text: str = "content",
     hashes = rows.select("source", F.explode(F.array_distinct(F.filter(line_hashes(F.col("text")), lambda h: h.isNotNull()))).alias("line_hash"))
     pairs = hashes.groupBy("line_hash", "source").agg(F.count("*").alias("n_items"))
 
-    # one row: the number of hypotheses, of items, and the mean rate of a line
-    whole = pairs.agg(F.count("*").alias("m"), F.sum("n_items").alias("occurrences"))
+    # one row: the number of hypotheses, of items, and the mean rate of a line; a pair below min_items can't be found and is no hypothesis (Tarone 1990)
+    whole = pairs.agg(F.count("*").alias("n_pairs"), F.count_if(F.col("n_items") >= min_items).alias("m"), F.sum("n_items").alias("occurrences"))
     total = per_source.agg(F.sum("n_source").alias("n_all")).withColumn("one", F.lit(1)).join(whole.withColumn("one", F.lit(1)), "one")
 
     held = pairs.where(F.col("n_items") >= min_items).join(per_source, pairs["source"].eqNullSafe(per_source["source"])).select("line_hash", pairs["source"], "n_items", "n_source")
@@ -48,7 +48,7 @@ def excessive_lines(items: DataFrame, id_col: str = "id", text: str = "content",
     inside = candidate.groupBy("line_hash").agg(F.sum("n_items").alias("in_items"), F.sum("n_source").alias("in_source"))
     everywhere = pairs.join(inside.select("line_hash"), "line_hash", "left_semi").groupBy("line_hash").agg(F.sum("n_items").alias("all_items"))
     tested = candidate.join(inside, "line_hash").join(everywhere, "line_hash").withColumn("one", F.lit(1)).join(F.broadcast(total), "one")
-    rate = F.col("occurrences") / F.col("m") / F.col("n_all")
+    rate = F.col("occurrences") / F.col("n_pairs") / F.col("n_all")
     tested = tested.withColumn("b", F.col("all_items") - F.col("in_items") + 1.0).withColumn("outside", F.col("n_all") - F.col("in_source") + F.greatest(1.0 / rate, F.lit(1.0)))
 
     def part(k, n, p):
