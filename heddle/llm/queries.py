@@ -96,8 +96,32 @@ x AS (SELECT c.source, c.norm FROM c JOIN n ON c.source IS NOT DISTINCT FROM n.s
 """
 
 
+_WORDS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+')"
+
+
+def _runs(words: str, k: int) -> str:
+    """The distinct runs of k words of a list, each as one string."""
+    return f"list_distinct(list_transform(generate_series(1, len({words}) - {k - 1}), lambda i: array_to_string({words}[i:i + {k - 1}], ' ')))"
+
+
+_PAIRS = f"""
+WITH w AS (SELECT id, {_WORDS.format("coalesce(title, '') || ' ' || coalesce(abstract, '') || ' ' || coalesce(content, '')")} AS w FROM items),
+r AS (SELECT id, {_runs('w', 3)} AS r FROM w), e AS (SELECT id, unnest(r) AS s FROM r), n AS (SELECT id, len(r) AS n FROM r),
+p AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM e a JOIN e b ON a.s = b.s AND a.id < b.id GROUP BY ALL)
+SELECT p.a AS item_id_a, p.b AS item_id_b FROM p JOIN n x ON x.id = p.a JOIN n y ON y.id = p.b WHERE c >= 0.5 * (x.n + y.n - c)"""
+
+_LEAKS = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents WHERE length(text) > 0), i AS (SELECT item_id, {_WORDS.format('text')} AS w FROM benchmark WHERE length(text) > 0),
+d3 AS (SELECT doc_id, unnest({_runs('w', 3)}) AS s FROM d), i3 AS (SELECT item_id, unnest({_runs('w', 3)}) AS s FROM i), n AS (SELECT item_id, count(*) AS n FROM i3 GROUP BY item_id),
+d12 AS (SELECT doc_id, unnest({_runs('w', 12)}) AS s FROM d), i12 AS (SELECT item_id, unnest({_runs('w', 12)}) AS s FROM i)
+SELECT doc_id, item_id FROM d12 JOIN i12 USING (s) UNION
+SELECT doc_id, item_id FROM (SELECT doc_id, item_id, count(*) AS c FROM d3 JOIN i3 USING (s) GROUP BY ALL) JOIN n USING (item_id) WHERE c >= 0.6 * n"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p3_found": _PAIRS,
+        "p7_found": _LEAKS,
         "p1_found": _EXCESS + "SELECT k.id AS item_id, k.line_no::BIGINT AS line_no FROM k JOIN x ON k.source IS NOT DISTINCT FROM x.source AND k.norm = x.norm",
         "p1_clean": _EXCESS
         + """, m AS (SELECT k.id, string_agg(k.line, chr(10) ORDER BY k.line_no) FILTER (x.norm IS NULL) AS text, count(x.norm) AS n_removed

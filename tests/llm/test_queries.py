@@ -18,6 +18,6 @@ def test_runs(spark, name):
         assert df.columns == COLUMNS[name] and len(rows) == len(set(rows))
     if name in queries.oracle_sql():
         c = duckdb.connect()
-        for t in ("items", "documents"):
+        for t in ("items", "documents", "benchmark"):
             c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
         assert sorted(rows, key=repr) == sorted(c.execute(queries.oracle_sql()[name]).fetchall(), key=repr)
