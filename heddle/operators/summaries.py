@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heddle.functions import text as T
+from heddle.operators.feed import cache_status, item_set_hash
 
 Writer = Callable[[str, str, str], str]  # (title, content, source) -> abstract
 LEAST = 20
@@ -69,3 +70,40 @@ def retried(items: DataFrame, replies: DataFrame) -> DataFrame:
     out = items.join(replies.where("reply is not null").select(F.col("item_id").alias("id"), "reply"), "id", "left")
     got = F.col("reply").isNotNull()
     return out.withColumns({"abstract": F.coalesce("reply", "abstract"), "api_refused_at": F.when(~got, F.col("api_refused_at")), "api_refusal_type": F.when(~got, F.col("api_refusal_type"))}).drop("reply")
+
+
+def topic_prompts(items: DataFrame, topics: DataFrame, most: int = 300) -> DataFrame:
+    """``topic_key, item_hash, n_items, prompt``: each topic's items by id, a line each with title, source and the first ``most`` characters of the abstract.
+
+    topics: ``item_id, topic_key``. Repeated rows count once. A topic's lines are gathered, as one prompt needs them all.
+    """
+    line = F.concat(F.lit("- "), F.coalesce("title", F.lit("Untitled")), F.lit(" ("), F.coalesce(F.when(F.length("source_name") > 0, F.col("source_name")), F.col("source"), F.lit("")), F.lit("): "), F.substring(F.coalesce("abstract", F.lit("")), 1, most))
+    lines = items.select(F.col("id").alias("item_id"), line.alias("line"))
+    joined = topics.select("item_id", "topic_key").distinct().join(lines, "item_id")
+    listed = F.sort_array(F.collect_list(F.struct("item_id", "line")))
+    prompts = joined.groupBy("topic_key").agg(F.array_join(F.transform(listed, lambda x: x["line"]), "\n").alias("prompt"))
+    return item_set_hash(joined, ["topic_key"], "item_id").join(prompts, "topic_key")
+
+
+def topic_summaries(prompts: DataFrame, cached: DataFrame, names: dict[str, str], writer: Writer) -> DataFrame:
+    """``topic_key, item_hash, summary, status``: of each topic, from the cache where the set of items is the same (hit), else written anew (miss, stale).
+
+    cached: ``topic_key, item_hash, summary``. Only topics without a hit reach the writer. Where it fails the summary says how many items there
+    are, and the status is failed: such a row isn't to be cached. names: display names; a key without one is its words with capitals.
+    """
+    state = cache_status(prompts, cached, ["topic_key"]).join(cached.select("topic_key", F.col("summary").alias("_kept")), "topic_key", "left")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for r in b.itertuples(index=False):
+                name = names.get(r.topic_key) or r.topic_key.replace("_", " ").title().replace("Ai ", "AI ")
+                try:
+                    text = (writer(name, r.prompt, "") or "").strip()
+                except Exception:
+                    text = ""
+                out.append((r.topic_key, r.item_hash, text or f"{r.n_items} recent items on {name}.", r.status if text else "failed"))
+            yield pd.DataFrame(out, columns=["topic_key", "item_hash", "summary", "status"])
+
+    new = state.where("status <> 'hit'").select("topic_key", "item_hash", "n_items", "prompt", "status").mapInPandas(run, "topic_key string, item_hash string, summary string, status string")
+    return state.where("status = 'hit'").select("topic_key", "item_hash", F.col("_kept").alias("summary"), "status").union(new)

@@ -130,6 +130,10 @@ def _sql() -> dict[str, str]:
  e AS (SELECT DISTINCT item_id, subtopic FROM classifications WHERE classified_at < TIMESTAMPTZ '2025-12-01 00:00:00+00'),
  a AS (SELECT topic_key, string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS h, count(*) AS n_items FROM t GROUP BY 1), b AS (SELECT topic_key, string_agg(item_id::VARCHAR, ',' ORDER BY item_id) AS h FROM t JOIN e USING (item_id, subtopic) GROUP BY 1)
  SELECT a.topic_key, CASE WHEN b.h IS NULL THEN 'miss' WHEN a.h = b.h THEN 'hit' ELSE 'stale' END AS status, a.n_items FROM a LEFT JOIN b USING (topic_key)""",
+        "topic_prompts": """WITH t AS (SELECT DISTINCT item_id, topic_key FROM item_topics)
+ SELECT topic_key, substr(sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id)), 1, 16) AS item_hash, count(*) AS n_items,
+  sum(length(coalesce(title, 'Untitled')) + length(coalesce(nullif(source_name, ''), source, '')) + least(length(coalesce(abstract, '')), 300) + 7)::BIGINT + count(*) - 1 AS n_chars
+ FROM t JOIN items i ON i.id = t.item_id GROUP BY topic_key""",
         "weekly_snapshots": """SELECT source, published_date + ((7 - dayofweek(published_date)) % 7)::INT AS week_ending, string_agg(id::VARCHAR, ',' ORDER BY id) AS item_ids, count(*) AS n_items
  FROM items WHERE published_date IS NOT NULL GROUP BY 1, 2""",
         "source_failures": """WITH o AS (SELECT user_id, max(struct_pack(ts := ts, event_id := event_id)) FILTER (event_type <> 'error') AS last_ok FROM events GROUP BY user_id)

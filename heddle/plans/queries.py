@@ -350,6 +350,19 @@ def summary_cache_status(spark, d):
     return feed.cache_status(now_, was, ["topic_key"]).select("topic_key", "status", "n_items")
 
 
+def topic_prompts(spark, d):
+    items, t = _t(spark, d, "items", "item_topics")
+    return summaries.topic_prompts(items, t).select("topic_key", "item_hash", "n_items", F.length("prompt").cast("bigint").alias("n_chars"))
+
+
+def topic_summaries(spark, d):
+    """Summaries of all topics, by a writer that tells their length, beside a cache made before late topics came."""
+    items, t = _t(spark, d, "items", "item_topics")
+    now_ = summaries.topic_prompts(items, t)
+    old = summaries.topic_prompts(items, t.where(~F.col("topic_key").startswith("general") | (F.col("item_id") < 1000))).select("topic_key", "item_hash", F.lit("kept").alias("summary"))
+    return summaries.topic_summaries(now_, old, {}, lambda name, prompt, _: f"{name}: {len(prompt)} characters")
+
+
 def weekly_snapshots(spark, d):
     w = feed.weekly_snapshots(table(spark, d, "items"), dates.week_ending(F.col("published_date")))
     return w.select("source", "week_ending", F.array_join(F.transform("item_ids", lambda x: x.cast("string")), ",").alias("item_ids"), "n_items")

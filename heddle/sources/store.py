@@ -15,7 +15,7 @@ TABLES = {
     "network_connections": "id bigint, item_id bigint, connection_name string, connection_description string",
     "sources": "id bigint, key string, name string, source_type string, crawler_type string, subtopics array<string>, url string, feed_url string, issn string, openalex_source_id string, crawl_config string, is_enabled boolean, crawl_status string, crawl_error string, consecutive_failures int, last_crawled_at timestamp, created_at timestamp, updated_at timestamp",
     "feeds": "id bigint, slug string, name string, description string, filter_config string, created_at timestamp, is_active boolean",
-    "digest_snapshots": "id bigint, feed_id bigint, week_ending date, item_ids array<bigint>, created_at timestamp",
+    "feed_snapshots": "id bigint, feed_id bigint, week_ending date, item_ids array<bigint>, created_at timestamp",
     "topic_summaries": "id bigint, feed_id bigint, topic_key string, week_ending date, summary string, item_hash string, created_at timestamp",
     "user_read_items": "id bigint, user_email string, item_id bigint, read_at timestamp",
     "user_feed_preferences": "id bigint, user_email string, feed_slug string, preferences string, updated_at timestamp",

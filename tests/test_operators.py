@@ -188,3 +188,22 @@ def test_enriched(spark):
     pages = spark.createDataFrame([("a", "t" * 100), ("a", "t" * 50), ("b", "t" * 50), ("c", "t" * 9000), ("d", None)], "url string, text string")
     got = {r.url: (r.enriched, len(r.content or "")) for r in summaries.enriched(t, pages).collect()}
     assert got == {"a": (True, 100), "b": (False, 0), "c": (False, 600), "d": (False, 0)}
+
+
+def test_topic_summaries(spark):
+    t = items(spark, {"title": "One", "abstract": "x" * 400, "source_name": "S"}, {"title": None, "abstract": None})
+    topics = spark.createDataFrame([(0, "ai_safety"), (1, "ai_safety"), (1, "ai_safety"), (1, "law"), (0, "bad")], "item_id bigint, topic_key string")
+    prompts = summaries.topic_prompts(t, topics)
+    got = {r.topic_key: r for r in prompts.collect()}
+    assert got["ai_safety"].prompt == "- One (S): " + "x" * 300 + "\n- Untitled (s): " and got["ai_safety"].n_items == 2
+    cached = spark.createDataFrame([("law", got["law"].item_hash, "kept"), ("bad", "old", "gone")], "topic_key string, item_hash string, summary string")
+    asked = spark.sparkContext.accumulator(0)
+
+    def writer(name, prompt, _):
+        asked.add(1)
+        if name == "Bad":
+            raise RuntimeError("no")
+        return f"On {name}"
+
+    out = {r.topic_key: (r.summary, r.status) for r in summaries.topic_summaries(prompts, cached, {}, writer).collect()}
+    assert out == {"law": ("kept", "hit"), "ai_safety": ("On AI Safety", "miss"), "bad": ("1 recent items on Bad.", "failed")} and asked.value == 2
