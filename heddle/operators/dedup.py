@@ -14,15 +14,17 @@ def with_hash(items: DataFrame) -> DataFrame:
 
 
 def best_of_copies(items: DataFrame, order: list[Column | str], id_col: str = "id") -> DataFrame:
-    """One row per content hash: the one with the longest abstract, the first by ``order`` among equals. Items without a title all stay.
+    """One row per content hash: the one with the longest abstract, the first by ``order`` among equals. Items without a title all stay. Ids are unique.
 
     The best row is found by an aggregate of (length, order) keys with partial sums, and the rows are joined to it by id: a hash that
     holds a third of the rows is one row per task after the partial step.
     """
-    hashed = with_hash(items)
+    titled = F.coalesce(F.length("title") > 0, F.lit(False))
     key = F.struct((-F.length(F.coalesce("abstract", F.lit("")))).alias("l"), *[F.expr(o) if isinstance(o, str) else o for o in order], F.col(id_col).alias("_id"))
-    best = hashed.where("content_hash is not null").groupBy("content_hash").agg(F.min(key).alias("k")).select(F.col("k._id").alias(id_col))
-    return hashed.where("content_hash is null").unionByName(hashed.where("content_hash is not null").join(best, id_col, "left_semi"))
+    # the hash is made once, below the aggregate, and comes back with the best row's id
+    best = with_hash(items.where(titled)).groupBy("content_hash").agg(F.min(key).alias("k")).select(F.col("k._id").alias(id_col), "content_hash")
+    kept = items.where(titled).drop("content_hash").join(best, id_col)
+    return kept.unionByName(items.where(~titled).withColumn("content_hash", F.lit(None).cast("string")))
 
 
 def first_by(items: DataFrame, key: str, order: list[str], id_col: str = "id") -> DataFrame:
