@@ -35,3 +35,9 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/heddle-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, most: int) -> DataFrame:
+    """``df``, written once, marked for broadcast if it has at most ``most`` rows; a larger one is left to Spark's choice of join."""
+    held = materialize(df)
+    return F.broadcast(held) if held.count() <= most else held
