@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heddle.functions.tables import has_text
+from heddle.functions.tables import broadcast_if_small, has_text
 
 MIN_ITEMS, MIN_SHARE, FALSE_DISCOVERY = 5, 0.10, 0.05
+MAX_SOURCES = 5_000  # sources whose sets may go to all tasks: each holds at most (mean lines of an item) / MIN_SHARE hashes of 8 bytes
 
 
 def line_key(line: F.Column) -> F.Column:
@@ -75,8 +76,8 @@ def _sets(excess: DataFrame) -> DataFrame:
 
 
 def _marked(items: DataFrame, excess: DataFrame, source: str) -> DataFrame:
-    """``items`` with ``_excess``, the set of its source. Small sets are broadcast by Spark's size check; beyond it Spark sorts and splits hot sources."""
-    sets = _sets(excess)
+    """``items`` with ``_excess``, the set of its source. The sets go to the texts while there are few sources; beyond that Spark sorts, and splits hot sources."""
+    sets = broadcast_if_small(_sets(excess), MAX_SOURCES)
     return items.join(sets, items[source].eqNullSafe(sets["_source"]), "left").drop("_source")
 
 

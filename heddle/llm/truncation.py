@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heddle.functions.tables import has_text
+from heddle.functions.tables import broadcast_if_small, has_text
 from heddle.llm.words import chunks, words_of
 
 # What a system leaves where it cut: an ellipsis and a "more" link, or the beginning of markup, of an entity or of a character.
@@ -19,6 +19,7 @@ CLOSED = r"[.?!][\"'”’»)\]]*$"
 LABEL = r"^\p{Lu}[\p{L}]*(?: \p{L}+){0,3}: "
 LINK = r"(?:https?://|www\.)\S+$"
 END = 100
+MAX_SOURCES = 20_000  # (source, field) pairs whose limits may go to all tasks: a few numbers each
 MIN_PILE, DEVIATIONS, KNOWN_LINE, KNOWN_WORD = 5, 6, 5, 3
 
 
@@ -82,6 +83,7 @@ def hidden_limits(df: DataFrame, id_col: str = "id", source: str = "source", fie
 def _at_limit(rows: DataFrame, limits: DataFrame) -> DataFrame:
     """``rows`` with ``at_limit``. Per (source, field) the limits are one array: a few numbers per form."""
     per = limits.groupBy(F.col("source").alias("_source"), F.col("field").alias("_field")).agg(F.collect_set(F.concat_ws(":", "encoding", "limit")).alias("_limits"))
+    per = broadcast_if_small(per, MAX_SOURCES)
     mine = F.array(*[F.concat(F.lit(f"{k}:"), v.cast("string")) for k, v in lengths(F.col("whole")).items()])
     joined = rows.join(per, rows["source"].eqNullSafe(per["_source"]) & (rows["field"] == per["_field"]), "left")
     return joined.withColumn("at_limit", F.coalesce(F.arrays_overlap("_limits", mine), F.lit(False))).drop("_source", "_field", "_limits")
