@@ -445,7 +445,7 @@ def page_texts(spark, d):
 def enriched_items(spark, d):
     """Thin items that get the text of the document of the same number where it is longer."""
     items, docs = _t(spark, d, "items", "documents")
-    pages = items.select("id", "url").join(docs.select(F.col("doc_id").alias("id"), F.substring("text", 1, 5000).alias("text")), "id").select("url", "text")
+    pages = items.select("id", "url").join(docs.select(F.col("doc_id").alias("id"), "text"), "id").select("url", "text")
     return summaries.enriched(items, pages).select("id", "enriched", F.length("content").cast("bigint").alias("n_chars"))
 
 

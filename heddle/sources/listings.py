@@ -61,8 +61,8 @@ def listing_items(pages: DataFrame, year: int, cutoff: Column | None = None, dat
     return out if cutoff is None else out.where(F.col("published_date").isNull() | (F.col("published_date") >= F.to_date(cutoff)))
 
 
-def page_texts(pages: DataFrame, most: int = 5000) -> DataFrame:
-    """``url, text``: the article text of each page (``url, html``), "" where there is none."""
+def page_texts(pages: DataFrame, most: int | None = None) -> DataFrame:
+    """``url, text``: the whole article text of each page (``url, html``), "" where there is none. most: characters to keep, for a caller whose prompt holds no more."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -125,8 +125,8 @@ NEWSLETTER = ["div.body.markup", "div.available-content", "article"]
 GENERIC = ["article", "main", "[role=main]", ".post-content", ".entry-content"]
 
 
-def article_text(html: str, url: str = "", most: int = 5000) -> str:
-    """A page's article text, at most ``most`` characters: by the site's own place for it, else the usual ones, else the <div> with the most text. "" if there is none."""
+def article_text(html: str, url: str = "", most: int | None = None) -> str:
+    """A page's article text, whole or its first ``most`` characters: by the site's own place for it, else the usual ones, else the <div> with the most text. "" if there is none."""
     from urllib.parse import urlparse
 
     host = (urlparse(url or "").netloc or "").lower()

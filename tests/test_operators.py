@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from heddle.operators import classify, dedup, feed, scoring, summaries, upsert
 from heddle.operators.feed import FeedFilter
 from heddle.operators.taxonomy import Taxonomy, Topic
+from heddle.plans import queries
 
 TAX = Taxonomy(
     (
@@ -190,6 +191,12 @@ def test_enriched(spark):
     assert got == {"a": (True, 100), "b": (False, 0), "c": (False, 600), "d": (False, 0)}
 
 
+def test_enriched_items_take_the_whole_document(spark, tmp_path):
+    items(spark, {"url": "a", "content": "short"}, {"url": "b", "content": "y" * 600}).write.parquet(f"{tmp_path}/items.parquet")
+    spark.createDataFrame([(0, "t" * 9000), (1, "t" * 9000)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.id: (r.enriched, r.n_chars) for r in queries.enriched_items(spark, str(tmp_path)).collect()} == {0: (True, 9000), 1: (False, 600)}
+
+
 def test_topic_summaries(spark):
     t = items(spark, {"title": "One", "abstract": "x" * 400, "source_name": "S"}, {"title": None, "abstract": None})
     topics = spark.createDataFrame([(0, "ai_safety"), (1, "ai_safety"), (1, "ai_safety"), (1, "law"), (0, "bad")], "item_id bigint, topic_key string")
