@@ -47,16 +47,17 @@ def parse_reply(reply: str) -> dict:
     return got if isinstance(got, dict) else {}
 
 
-def classify(items: DataFrame, taxonomy: Taxonomy, classifier: Classifier, size: int = BATCH, subtopics: str | None = None) -> DataFrame:
+def classify(items: DataFrame, taxonomy: Taxonomy, classifier: Classifier, size: int = BATCH, subtopics: str | None = None, most: int | None = None) -> DataFrame:
     """Verdicts of a classifier on ``items``, one row per item and subtopic asked for (all, or those in the array column ``subtopics``).
 
     Items go in batches of at most ``size`` as they come in a partition; one prompt covers the subtopics any of them needs. An item's missing
     subtopics are "Not evaluated"; where a batch fails, its items are tried one by one, and one that fails alone gets
-    "Classification failed". The result isn't deterministic if the classifier isn't: write it once before using it twice.
+    "Classification failed". The classifier sees an item's whole content, or its first ``most`` characters, for a prompt that holds no more. The result isn't deterministic if the classifier isn't: write it once before using it twice.
     """
     every = taxonomy.subtopics
     wanted = F.col(subtopics) if subtopics else F.array(*[F.lit(s) for s in every])
-    rows = items.select(F.col("id").alias("item_id"), "title", F.substring(F.coalesce(F.when(F.length("content") > 0, F.col("content")), F.col("abstract"), F.lit("")), 1, 3000).alias("content"), "authors", "source", wanted.alias("subtopics"))
+    content = F.coalesce(F.when(F.length("content") > 0, F.col("content")), F.col("abstract"), F.lit(""))
+    rows = items.select(F.col("id").alias("item_id"), "title", (content if most is None else F.substring(content, 1, most)).alias("content"), "authors", "source", wanted.alias("subtopics"))
 
     def ask(batch: list[dict]) -> list[dict]:
         names = sorted({s for x in batch for s in x["subtopics"]})

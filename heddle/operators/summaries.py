@@ -32,9 +32,13 @@ def candidates(items: DataFrame) -> DataFrame:
     return items.where(T.needs_abstract(F.col("abstract")) & (F.length("content") > 0) & F.col("api_refused_at").isNull())
 
 
-def written(items: DataFrame, writer: Writer) -> DataFrame:
-    """``item_id, reply, refused`` of a writer, for every item. Too short a reply or an error is no reply; one that declines is refused."""
-    rows = items.select(F.col("id").alias("item_id"), "title", F.substring("content", 1, 3000).alias("content"), F.coalesce("source_name", "source").alias("source"))
+def written(items: DataFrame, writer: Writer, most: int | None = None) -> DataFrame:
+    """``item_id, reply, refused`` of a writer, for every item. Too short a reply or an error is no reply; one that declines is refused.
+
+    The writer sees the whole content, or its first ``most`` characters, for a prompt that holds no more.
+    """
+    content = F.col("content") if most is None else F.substring("content", 1, most)
+    rows = items.select(F.col("id").alias("item_id"), "title", content.alias("content"), F.coalesce("source_name", "source").alias("source"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

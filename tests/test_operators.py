@@ -129,6 +129,17 @@ def test_classification(spark):
     assert classify.parse_reply("no json") == classify.parse_reply("[1]") == {} and classify.parse_reply('```\n{"a": 1}') == {"a": 1}
 
 
+def test_classifier_and_writer_see_whole_contents(spark):
+    t = items(spark, {"title": "a", "content": "x " * 4000 + "zoning reform"}, {"title": "b", "abstract": "x " * 4000 + "zoning reform"})
+    ask = classify.keyword_classifier(TAX)
+    got = {(r.item_id, r.subtopic): r.topics for r in classify.classify(t, TAX, ask).collect()}
+    assert got[(0, "abundance")] == got[(1, "abundance")] == ["housing"]
+    assert not any(r.topics for r in classify.classify(t, TAX, ask, most=3000).collect())
+    size = lambda title, content, source: f"{len(content)} characters in all"
+    assert summaries.written(t, size).where("item_id = 0").first().reply == "8013 characters in all"
+    assert summaries.written(t, size, 3000).where("item_id = 0").first().reply == "3000 characters in all"
+
+
 def verdict_rows(spark, rows):
     return spark.createDataFrame(rows, "item_id bigint, subtopic string, relevant boolean, confidence string, reasoning string, topics array<string>")
 
