@@ -21,7 +21,7 @@ from heddle.llm.words import chunks, mix, runs, words_of
 
 BANDS, ROWS = 96, 5  # a pair at similarity 0.5 is missed once in 21 times, at 0.55 once in 150, at 0.6 once in 2,300
 COMPARED, ESTIMATE = 128, 0.30  # coordinates of a signature (a byte each), and the share of equal ones for an exact comparison
-LARGE_BUCKET, SUB_BANDS = 100, 24
+LARGE_BUCKET, SUB_BANDS, SUB_ROWS = 100, 48, 2  # a pair at similarity 0.5 that shares a large bucket is missed there once in 10^6 times (0.75^48)
 SLOTS = 1 << 24  # bits of the bitmap that tells which classes are asked for: 2 MB
 
 
@@ -146,8 +146,9 @@ def _within(keyed: DataFrame, key: list[str]) -> DataFrame:
 def _candidates(texts: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     """Distinct pairs ``a < b`` of classes that share a bucket; in a bucket of over LARGE_BUCKET classes, those that share a bucket within it too.
 
-    A large bucket isn't paired off: its classes are thrown into SUB_BANDS finer ones by three coordinates of an independent
-    sketch each, which a pair at the threshold passes with near certainty, so that the unlike are parted and none is dropped.
+    A large bucket isn't paired off: its classes are thrown into SUB_BANDS finer ones by SUB_ROWS coordinates of an independent
+    sketch each, so that the unlike are parted. A pair at similarity s is lost there with probability (1 - s^SUB_ROWS)^SUB_BANDS, however large
+    the bucket and in however many buckets: at 0.5 once in 10^6 times, at 0.4 once in 4,300.
     """
     held = _buckets(texts, shingle, bands, rows)
     small = _within(held.where(F.col("n") <= LARGE_BUCKET), ["bucket"])
@@ -156,7 +157,7 @@ def _candidates(texts: DataFrame, shingle: int, bands: int, rows: int) -> DataFr
         return small.distinct()
     bitmap = _bitmap(large.select(F.col("rep").alias("a"), F.col("rep").alias("b")))
     signed = texts.select("rep", "text").mapInPandas(lambda it: _signed(_asked_for(it, bitmap), shingle, COMPARED), "rep bigint, sig binary").dropDuplicates(["rep"])
-    fine = F.explode(F.transform(F.sequence(F.lit(0), F.lit(SUB_BANDS - 1)), lambda j: F.xxhash64(j, F.substring("sig", 3 * j + 1, F.lit(3)))))
+    fine = F.explode(F.transform(F.sequence(F.lit(0), F.lit(SUB_BANDS - 1)), lambda j: F.xxhash64(j, F.substring("sig", SUB_ROWS * j + 1, F.lit(SUB_ROWS)))))
     return small.union(_within(large.join(signed, "rep").select("rep", "bucket", fine.alias("finer")), ["bucket", "finer"])).distinct()
 
 

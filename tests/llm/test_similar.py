@@ -70,6 +70,21 @@ def test_a_large_bucket_is_parted_not_dropped(spark, monkeypatch):
     assert links.count() == 30 * 29 // 2
 
 
+def test_a_large_bucket_keeps_pairs_at_the_threshold(spark, monkeypatch):
+    def pair(i):
+        shared = text(81 + i % 9).split()
+        return (" ".join(shared + text(120 - len(shared)).split()) for _ in range(2))
+
+    rows = [(2 * i + j, t) for i in range(500) for j, t in enumerate(pair(i))]
+    assert all(0.5 <= jaccard(rows[2 * i][1], rows[2 * i + 1][1]) <= 0.6 for i in range(500))
+    texts = similar._rows(spark.createDataFrame(rows, "id bigint, text string"), "id", F.col("text"))
+    one = texts.select("rep", F.lit(1).cast("bigint").alias("bucket"), F.lit(1000).alias("n"))
+    monkeypatch.setattr(similar, "_buckets", lambda *_: one)
+    got = {tuple(r) for r in similar._candidates(texts, 3, 96, 5).collect()}
+    rep = {r.id: r.rep for r in texts.collect()}
+    assert not [i for i in range(500) if tuple(sorted((rep[2 * i], rep[2 * i + 1]))) not in got] and len(got) < 0.05 * 1000 * 999 / 2
+
+
 def test_components_and_empty(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (9, 8), (3, 4), (5, 5), (4, 7), (7, 6)], "a bigint, b bigint")
     assert {tuple(r) for r in similar.components(edges).collect()} == {(1, 1), (2, 1), (3, 1), (4, 1), (6, 1), (7, 1), (8, 8), (9, 8)}
