@@ -133,7 +133,8 @@ def entities(df: DataFrame, id_col: str, field: str) -> DataFrame:
     Names are read as family, given and initials, or as an organisation's words in one order, without accents, titles, suffixes and
     articles. Keys "given family" and organisations' keys within distance 1 are linked by radius_join, unless both given names are
     usual ones (Joan, John). A name with initials or a usual short form for its given name is linked to the entity of
-    its family that it fits, if just one does, by the same metric for a family name mistyped. Null and "" fields hold no names; a name that
+    its family that it fits, if just one does, by the same metric for a family name mistyped. Short forms (Jen, Jenny) of a family without
+    the given name itself are linked if they stand for just one name, and are what initials fit then. Null and "" fields hold no names; a name that
     fits several entities, or none, stands alone. Names that come often cost as much as names that come once.
     """
     code = learned_code(df, field)
@@ -165,7 +166,19 @@ def entities(df: DataFrame, id_col: str, field: str) -> DataFrame:
     # a usual short form belongs to the one entity of its family with a given name it stands for
     persons = keyed.where("kind = 'full' and formal is null").groupBy("family", "given", "entity").agg(F.max(F.length("initials")).alias("width"), F.max("initials").alias("letters"))
     short = keyed.where("formal is not null").select(F.col("entity").alias("from"), "family", F.explode("formal").alias("given")).distinct()
-    moved = short.join(persons.select("family", "given", "entity"), ["family", "given"]).groupBy("from").agg(F.min("entity").alias("to"), F.count_distinct("entity").alias("n")).where("n = 1").select("from", "to")
+    fitting = short.join(persons.select("family", "given", "entity"), ["family", "given"]).groupBy("from").agg(F.min("entity").alias("to"), F.count_distinct("entity").alias("n"))
+    moved = materialize(fitting.where("n = 1").select("from", "to"))
+
+    # without one, short forms that stand for just one given name are one entity of their family, and other short forms belong to it as to a given name
+    bare = short.join(fitting, "from", "left_anti")
+    sole = bare.join(bare.groupBy("from").agg(F.count_distinct("given").alias("n")).where("n = 1"), "from", "left_semi")
+    held = sole.groupBy("family", "given").agg(F.min("from").alias("to"))
+    one = bare.join(sole, "from", "left_anti").join(held, ["family", "given"]).groupBy("from").agg(F.min("to").alias("to"), F.count_distinct("family", "given").alias("n")).where("n = 1").select("from", "to")
+    joined = components(sole.join(held, ["family", "given"]).select("from", "to").union(one).toDF("a", "b")).toDF("from", "to")
+
+    # who is meant by initials: full names, short forms too unless they belong to another's given name
+    persons = persons.union(keyed.where("formal is not null").join(moved.withColumnRenamed("from", "entity"), "entity", "left_anti").groupBy("family", "given", "entity").agg(F.max(F.length("initials")).alias("width"), F.max("initials").alias("letters")))
+    moved = moved.union(joined)
 
     # initials: entities of the family whose given name begins so, and whose further initials, where both have some, agree
     initials = known.where("kind = 'initial'").select("name", "family", "initials")

@@ -55,5 +55,17 @@ def test_variants(spark):
     assert ("E. Lumnisige", "Edward Lumnisige") in pairs and all(a < b for a, b in pairs)
 
 
+def test_short_forms_without_the_formal_name(spark):
+    people = ["Sam Schirvabega", "Jen Heskagamu", "Jenny Heskagamu", "Alex Korsalefe", "Sandy Korsalefe", "Sam Lunvifute", "Sammy Lunvifute", "Jenny Rampimabi", "John Rampimabi", "Bill Lumnisige", "William Lumnisige", "Chris Pimvadiba", "Christopher Pimvadiba", "Christine Pimvadiba"]
+    alone = ["S. Schirvabega", "J. Heskagamu", "S. Lunvifute", "J. Rampimabi", "W. Lumnisige", "C. Pimvadiba"]
+    df = spark.createDataFrame([*enumerate(people * 6), *enumerate(alone, 100)], "id bigint, authors string")
+    e = {r.name: r.entity for r in names.entities(df, "id", "authors").collect()}
+    assert e["S. Schirvabega"] == e["Sam Schirvabega"] and e["Jen Heskagamu"] == e["Jenny Heskagamu"] == e["J. Heskagamu"]
+    assert e["Alex Korsalefe"] == e["Sandy Korsalefe"] and e["W. Lumnisige"] == e["Bill Lumnisige"] == e["William Lumnisige"]
+    # several fit: Samuel or Samantha, John or Jenny, one of two Chrises
+    assert len({e[n] for n in ("Sam Lunvifute", "Sammy Lunvifute", "S. Lunvifute")}) == 3 and len({e[n] for n in ("Jenny Rampimabi", "John Rampimabi", "J. Rampimabi")}) == 3
+    assert len({e[n] for n in (*people[-3:], "C. Pimvadiba")}) == 4 and len(e) == len(people) + len(alone)
+
+
 def test_empty(spark):
     assert names.variants(spark.createDataFrame([], "id bigint, authors string"), "id", "authors").count() == 0
