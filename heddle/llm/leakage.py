@@ -4,7 +4,8 @@ Each test item is laid out in windows of WINDOW words. A window's fingerprint is
 are held in four blocks of 16, so that any two fingerprints within RADIUS agree in a block. Windows of every document are
 fingerprinted the same way and looked up by block. A run of WINDOW words that stands in both texts has the same
 fingerprint in both, so no passage of RUN words is missed, nor a document that keeps SHARE of an item's three-word runs with words put
-in, left out or exchanged: between runs of fewer than WINDOW words two in four or more of the item's runs are lost.
+in, left out or exchanged: each gap costs two or more of the item's runs. Items of up to 45 runs, of which SHARE may be left without
+as many windows as RUN words have, are looked up by their three-word runs instead.
 """
 
 from __future__ import annotations
@@ -68,10 +69,14 @@ class Items:
         long, at12 = runs(hashes, doc, RUN)
         self.three = [np.unique(three[at3 == i]) for i in range(len(ids))]
         self.long = [np.unique(long[at12 == i]) for i in range(len(ids))]
-        # items too short for a window are looked up by their three-word runs
-        short = [i for i in range(len(ids)) if 0 < len(self.three[i]) and not (self.owner == i).any()]
-        self.short = {int(h): [i for i in short if h in self.three[i]] for h in np.unique(np.concatenate([self.three[i] for i in short]))} if short else {}
-        self.least = np.array([min(RUN - WINDOW + 1, np.ceil(SHARE * len(t) / (WINDOW - SHINGLE + 1))) for t in self.three])
+        self.least = np.full(len(ids), RUN - WINDOW + 1)
+        # k stretches of an item of n runs hold n + 2 - 2k of them and n + 2 - 4k windows, so with SHARE of the runs n / 5 - 2 windows at least;
+        # items of so few runs that this is less than a passage of RUN words has are looked up by their three-word runs
+        self.short: dict[int, list[int]] = {}
+        for i, t in enumerate(self.three):
+            if np.ceil(SHARE * len(t) / (WINDOW - SHINGLE + 1)) - 2 < RUN - WINDOW + 1:
+                for h in t:
+                    self.short.setdefault(int(h), []).append(i)
 
     def candidates(self, prints: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Rows (document, item) with as many windows within RADIUS as a leak has at least."""
@@ -99,7 +104,7 @@ def _leaks(batches: Iterator[pd.DataFrame], ids: list[int], texts: list[str]) ->
             three, at3 = runs(hashes, doc, SHINGLE)
             if items.short:
                 hit = np.flatnonzero(np.isin(three, np.fromiter(items.short, dtype=np.uint64)))
-                pairs += sorted({(int(at3[h]), i) for h in hit for i in items.short[int(three[h])]})
+                pairs = sorted({*pairs, *((int(at3[h]), i) for h in hit for i in items.short[int(three[h])])})
             long, at12 = runs(hashes, doc, RUN)
             out = []
             for d, i in pairs:

@@ -60,3 +60,17 @@ def test_items_in_parts_and_empty(spark, monkeypatch):
     monkeypatch.setattr(leakage, "MAX_ITEMS", 2)
     assert leakage.leaked(docs, test).count() == 9
     assert leakage.leaked(docs.limit(0), test).count() == 0 and leakage.leaked(docs, test.limit(0)).count() == 0
+
+
+def test_short_items_with_words_put_in_are_found(spark):
+    def parted(words, *sizes):
+        out = []
+        for k, n in enumerate(sizes):
+            out += [*words[:n], f"gap{k}"]
+            words = words[n:]
+        return " ".join(out)
+
+    items = {i: [f"i{i}w{j}" for j in range(n)] for i, n in enumerate((12, 22, 47))}
+    docs = [(0, parted(items[0], 4, 4, 4)), (1, parted(items[1], 5, 5, 4, 4, 4)), (2, parted(items[2], *[5] * 7, *[4] * 3))]
+    found = leakage.leaked(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id bigint, text string"))
+    assert sorted((r.doc_id, r.item_id, r.has_run) for r in found.collect()) == [(0, 0, False), (1, 1, False), (2, 2, False)]
