@@ -9,13 +9,13 @@ from heddle.sources.markup import article_text, parse
 from heddle.sources.store import TABLES, Store
 
 RSS = """<?xml version="1.0"?><rss version="2.0" xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:media="http://search.yahoo.com/mrss/" xmlns:content="http://purl.org/rss/1.0/modules/content/"><channel><title>T</title>
-<item><title>Test Post Title</title><link>https://a.example/p/1</link><description><![CDATA[<p>Hello <b>there</b></p><img src="https://a.example/i.png" width="50" height="50"><img src="https://a.example/big.png" width="500">]]></description><pubDate>Wed, 15 Jan 2026 10:00:00 GMT</pubDate><dc:creator>Jane Doe</dc:creator><enclosure url="https://a.example/e.png" type="image/png"/></item>
-<item><title>Second</title><link>https://a.example/p/2</link><content:encoded>Body</content:encoded><pubDate>Mon, 01 Jan 2024 10:00:00 GMT</pubDate></item>
+<item><title>Tide tables, explained</title><link>https://a.example/p/1</link><description><![CDATA[<p>Water <b>rises</b></p><img src="https://a.example/i.png" width="50" height="50"><img src="https://a.example/big.png" width="500">]]></description><pubDate>Thu, 4 Sep 2025 06:30:00 GMT</pubDate><dc:creator>Runa Weir</dc:creator><enclosure url="https://a.example/e.png" type="image/png"/></item>
+<item><title>Second</title><link>https://a.example/p/2</link><content:encoded>Body</content:encoded><pubDate>Fri, 02 Jun 2023 10:00:00 GMT</pubDate></item>
 <item><title>No date</title><link>https://a.example/p/3</link></item><item><title>No link</title></item></channel></rss>"""
-RDF = """<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/" xmlns:dc="http://purl.org/dc/elements/1.1/"><item><title>R</title><link>https://r.example/1</link><dc:creator>Ann</dc:creator><dc:date>2026-02-03T00:00:00Z</dc:date><description>d</description></item></rdf:RDF>"""
-ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://x.example/abs/2501.00001v1</id><title>  A  wide
+RDF = """<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/" xmlns:dc="http://purl.org/dc/elements/1.1/"><item><title>R</title><link>https://r.example/1</link><dc:creator>Ann</dc:creator><dc:date>2025-11-21T00:00:00Z</dc:date><description>d</description></item></rdf:RDF>"""
+ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><entry><id>http://x.example/abs/0704.99x</id><title>  A  wide
  title </title><summary> Some
- text </summary><published>2099-01-10T00:00:00Z</published><link href="http://x.example/pdf" type="application/pdf"/><link href="http://x.example/abs/2501.00001v1" type="text/html"/><author><name>Alice Smith</name></author><author><name>Bob Jones</name></author><category term="cs.AI"/><category term="cs.LG"/></entry>
+ text </summary><published>2031-07-09T00:00:00Z</published><link href="http://x.example/pdf" type="application/pdf"/><link href="http://x.example/abs/0704.99x" type="text/html"/><author><name>Noor Vale</name></author><author><name>Tomas Quill</name></author><category term="geo.tides"/><category term="geo.maps"/></entry>
 <entry><id>http://x.example/abs/2</id><title>Id is the address</title><updated>2020-01-01</updated></entry><entry><id>3</id></entry></feed>"""
 
 
@@ -26,21 +26,21 @@ def docs(spark, *texts):
 def test_feed_items(spark):
     got = {r.url: r for r in feeds.feed_items(docs(spark, RSS, RDF, "<rss", "", None, "<!DOCTYPE x><rss/>", "<html/>")).collect()}
     first = got["https://a.example/p/1"]
-    assert (first.title, first.abstract, first.authors, first.published_date, first.source_name) == ("Test Post Title", "Hello there", "Jane Doe", dt.date(2026, 1, 15), "slow")
+    assert (first.title, first.abstract, first.authors, first.published_date, first.source_name) == ("Tide tables, explained", "Water rises", "Runa Weir", dt.date(2025, 9, 4), "slow")
     assert first.images == ["https://a.example/e.png", "https://a.example/big.png"] and got["https://a.example/p/2"].content == "Body"
-    assert got["https://r.example/1"].published_date == dt.date(2026, 2, 3) and got["https://r.example/1"].authors == "Ann" and len(got) == 4
-    later = feeds.feed_items(docs(spark, RSS), F.lit(dt.datetime(2026, 1, 15, 12)))
+    assert got["https://r.example/1"].published_date == dt.date(2025, 11, 21) and got["https://r.example/1"].authors == "Ann" and len(got) == 4
+    later = feeds.feed_items(docs(spark, RSS), F.lit(dt.datetime(2025, 9, 4, 12)))
     assert sorted(r.url[-1] for r in later.collect()) == ["1", "3"]
 
 
 def test_preprint_and_paper_feeds(spark):
     got = {r.url: r for r in feeds.preprint_feed_items(docs(spark, ATOM, ATOM)).collect()}
-    r = got["http://x.example/abs/2501.00001v1"]
-    assert (r.title, r.abstract, r.authors, r.source_id, r.subjects) == ("A wide title", "Some text", "Alice Smith, Bob Jones", "2501.00001v1", ["cs.AI", "cs.LG"])
+    r = got["http://x.example/abs/0704.99x"]
+    assert (r.title, r.abstract, r.authors, r.source_id, r.subjects) == ("A wide title", "Some text", "Noor Vale, Tomas Quill", "0704.99x", ["geo.tides", "geo.maps"])
     assert len(got) == 2 and feeds.preprint_feed_items(docs(spark, ATOM), F.lit(dt.datetime(2021, 1, 1))).count() == 1
-    papers = RSS.replace("Second", "Work -- by A. One, B. Two").replace("https://a.example/p/2", "https://n.example/papers/w123#fromrss")
+    papers = RSS.replace("Second", "Ferries at night -- by R. Weir, N. Vale").replace("https://a.example/p/2", "https://n.example/papers/w4071#fromrss")
     p = {r.source_id: r for r in feeds.paper_feed_items(docs(spark, papers), F.lit(dt.date(2026, 3, 1))).collect()}
-    assert (p["w123"].title, p["w123"].authors, p["w123"].url) == ("Work", "A. One, B. Two", "https://n.example/papers/w123")
+    assert (p["w4071"].title, p["w4071"].authors, p["w4071"].url) == ("Ferries at night", "R. Weir, N. Vale", "https://n.example/papers/w4071")
 
 
 def test_works(spark):
@@ -48,8 +48,8 @@ def test_works(spark):
     reply = lambda o: spark.createDataFrame([("s", json.dumps(o)), ("s", "broken"), ("s", None)], "source string, reply string")
     reg = works.registry_works(reply({"message": {"items": [{"title": ["A  B"], "DOI": "10.1/x", "abstract": "<jats:p>Text</jats:p>", "author": [{"given": "Ann", "family": "Lee"}, {"family": "Org"}, {}], "published": {"date-parts": [[2025, 4]]}}, {"title": ["C"], "link": [{"URL": "https://l.example"}], "created": {"date-parts": [[2040, 1, 1]]}}, {"title": ["no address"]}, {"DOI": "10.1/y"}]}}), today).collect()
     assert sorted((r.url, r.title, r.abstract, r.authors, r.published_date) for r in reg) == [("https://doi.org/10.1/x", "A B", "Text", "Ann Lee, Org", dt.date(2025, 4, 1)), ("https://l.example", "C", "", "", dt.date(2026, 3, 1))]
-    opened = works.open_works(reply({"results": [{"id": "W1", "doi": "https://doi.org/10.1/z", "title": "T", "publication_date": "2026-12-01", "authorships": [{"author": {"display_name": "Ann"}}], "abstract_inverted_index": {"world": [1], "Hello": [0]}}, {"id": "W2", "display_name": "U"}]}), today).collect()
-    assert sorted((r.url, r.abstract, r.published_date) for r in opened) == [("W2", "", None), ("https://doi.org/10.1/z", "Hello world", dt.date(2026, 3, 1))]
+    opened = works.open_works(reply({"results": [{"id": "W1", "doi": "https://doi.org/10.1/z", "title": "T", "publication_date": "2026-12-01", "authorships": [{"author": {"display_name": "Ann"}}], "abstract_inverted_index": {"marsh": [1], "Salt": [0]}}, {"id": "W2", "display_name": "U"}]}), today).collect()
+    assert sorted((r.url, r.abstract, r.published_date) for r in opened) == [("W2", "", None), ("https://doi.org/10.1/z", "Salt marsh", dt.date(2026, 3, 1))]
     person = {"embeds": {"users": {"data": {"attributes": {"full_name": "Ann"}}}}}
     entry = {"id": "abc", "attributes": {"title": "P", "description": "<b>d</b>", "date_created": "2026-01-02T03:04:05Z", "subjects": [[{"text": "Law"}, {"text": "Law"}], [{"text": "Art"}]]}, "links": {}, "embeds": {"contributors": {"data": [person, person]}}}
     pre = works.preprint_works(reply({"data": [entry, entry]}), F.lit(dt.datetime(2026, 1, 2))).collect()
@@ -59,16 +59,16 @@ def test_works(spark):
     assert {r.id: r.abstract for r in works.backfilled(items, found, 1).collect()} == {1: "x", 2: "", 3: "has one"}
 
 
-LISTING = """<ul class="wp-block-list"><li class="item"><a href="/p/1"><time datetime="2026-03-05">Mar</time><span class="title">One</span></a></li><li class="item"><a href="/p/2"><span class="date">no</span><span class="date">Dec 18, 2024</span><span class="title">Two</span></a>
+LISTING = """<ul class="site-list-wide"><li class="item"><a href="/p/1"><time datetime="2025-08-19">Aug</time><span class="title">One</span></a></li><li class="item"><a href="/p/2"><span class="date">no</span><span class="date">7 October 2023</span><span class="title">Two</span></a>
 <li class="item"><a href="/p/1"><span class="title">One again</span></a></li><li class="item"><a href="/p/3"><span class="title">Undated</span></a></li><li class="item"><span class="title">No link</span></li></ul><a class="card" href="https://o.example/x"><h3>Card</h3></a>"""
-CONF = {"listing_url": "https://s.example/all/", "article_selector": "ul[class*='block'] li.item, a.card", "title_selector": ".title, h3", "url_selector": "a[href]", "date_selector": "time, span.date"}
+CONF = {"listing_url": "https://s.example/all/", "article_selector": "ul[class*='list'] li.item, a.card", "title_selector": ".title, h3", "url_selector": "a[href]", "date_selector": "time, span.date"}
 
 
 def test_listings(spark):
     rows = [("s", json.dumps(CONF), LISTING), ("bad", json.dumps({"listing_url": "x"}), LISTING), ("none", None, LISTING), ("empty", json.dumps(CONF), None)]
     df = spark.createDataFrame(rows, "source string, crawl_config string, html string")
     got = {r.url: (r.title, r.published_date) for r in listings.listing_items(df, 2026).collect()}
-    assert got == {"https://s.example/p/1": ("One", dt.date(2026, 3, 5)), "https://s.example/p/2": ("Two", dt.date(2024, 12, 18)), "https://s.example/p/3": ("Undated", None), "https://o.example/x": ("Card", None)}
+    assert got == {"https://s.example/p/1": ("One", dt.date(2025, 8, 19)), "https://s.example/p/2": ("Two", dt.date(2023, 10, 7)), "https://s.example/p/3": ("Undated", None), "https://o.example/x": ("Card", None)}
     assert listings.listing_items(df, 2026, F.lit(dt.datetime(2025, 1, 1))).count() == 3
 
 
