@@ -154,7 +154,7 @@ def _sql() -> dict[str, str]:
  CASE WHEN published_date IS NULL OR published_date > DATE '2026-03-08' THEN DATE '2026-03-01' ELSE published_date END AS published_date FROM items WHERE length(title) > 0""",
         "enriched_items": """SELECT id, coalesce(length(coalesce(content, '')) < 500 AND length(d.t) > CASE WHEN length(coalesce(content, '')) = 0 THEN length(coalesce(abstract, '')) ELSE length(content) END, false) AS enriched,
  length(CASE WHEN coalesce(length(coalesce(content, '')) < 500 AND length(d.t) > CASE WHEN length(coalesce(content, '')) = 0 THEN length(coalesce(abstract, '')) ELSE length(content) END, false) THEN d.t ELSE content END)::BIGINT AS n_chars
- FROM items i LEFT JOIN (SELECT j.url, arg_max(substr(text, 1, 5000), length(substr(text, 1, 5000))) AS t FROM documents JOIN items j ON j.id = doc_id WHERE text IS NOT NULL GROUP BY j.url) d ON d.url = i.url""",
+ FROM items i LEFT JOIN (SELECT j.url, arg_max(text, length(text)) AS t FROM documents JOIN items j ON j.id = doc_id WHERE text IS NOT NULL GROUP BY j.url) d ON d.url = i.url""",
         "listing_items": "SELECT source, count(*) AS n, min(published_date) AS first_day FROM items WHERE length(title) > 0 AND published_date >= DATE '2025-02-01' GROUP BY source",
         "stream_first_seen": "SELECT DISTINCT user_id::VARCHAR || '/' || event_type AS key, 1::BIGINT AS n FROM events",
         "stream_failures": """WITH o AS (SELECT user_id, max(struct_pack(ts := ts, event_id := event_id)) FILTER (event_type <> 'error') AS last_ok FROM events GROUP BY user_id)
