@@ -14,6 +14,7 @@ from heddle.operators.scoring import THRESHOLD, keyword_scores, potentially_rele
 from heddle.operators.taxonomy import Taxonomy
 
 BATCH = 5
+BELOW = "Below the keyword threshold"
 VERDICT = "item_id bigint, subtopic string, relevant boolean, confidence string, reasoning string, topics array<string>"
 
 #: takes the taxonomy's text and a batch of {title, content, item_type, authors, source, subtopics}, gives JSON text: {"0": {subtopic: {relevant, topics, confidence, reasoning}}, ...}
@@ -30,7 +31,7 @@ def split_by_prefilter(items: DataFrame, taxonomy: Taxonomy, threshold: float =
     marked = potentially_relevant(items, taxonomy, threshold)
     subtopics = F.explode(F.array(*[F.lit(s) for s in taxonomy.subtopics])).alias("subtopic")
     rejected = marked.where(~F.col("passes")).select(F.col("id").alias("item_id"), subtopics)
-    return marked.where("passes").drop("passes"), rejected.select("item_id", "subtopic", *_default("Below the keyword threshold"))
+    return marked.where("passes").drop("passes"), rejected.select("item_id", "subtopic", *_default(BELOW))
 
 
 def _default(reason: str) -> list:
@@ -47,17 +48,20 @@ def parse_reply(reply: str) -> dict:
     return got if isinstance(got, dict) else {}
 
 
-def classify(items: DataFrame, taxonomy: Taxonomy, classifier: Classifier, size: int = BATCH, subtopics: str | None = None, most: int | None = None) -> DataFrame:
+def classify(items: DataFrame, taxonomy: Taxonomy, classifier: Classifier, size: int = BATCH, subtopics: str | None = None, most: int | None = None, threshold: float | None = None) -> DataFrame:
     """Verdicts of a classifier on ``items``, one row per item and subtopic asked for (all, or those in the array column ``subtopics``).
 
     Items go in batches of at most ``size`` as they come in a partition; one prompt covers the subtopics any of them needs. An item's missing
     subtopics are "Not evaluated"; where a batch fails, its items are tried one by one, and one that fails alone gets
-    "Classification failed". The classifier sees an item's whole content, or its first ``most`` characters, for a prompt that holds no more. The result isn't deterministic if the classifier isn't: write it once before using it twice.
+    "Classification failed". The classifier sees an item's whole content, or its first ``most`` characters, for a prompt that holds no more.
+    With a ``threshold`` the prefilter is part of the same pass: an item below it never reaches the classifier and is not relevant under every subtopic. The result isn't deterministic if the classifier isn't: write it once before using it twice.
     """
     every = taxonomy.subtopics
     wanted = F.col(subtopics) if subtopics else F.array(*[F.lit(s) for s in every])
     content = F.coalesce(F.when(F.length("content") > 0, F.col("content")), F.col("abstract"), F.lit(""))
-    rows = items.select(F.col("id").alias("item_id"), "title", (content if most is None else F.substring(content, 1, most)).alias("content"), "authors", "source", wanted.alias("subtopics"))
+    marked = items.withColumn("passes", F.lit(True)) if threshold is None else potentially_relevant(items, taxonomy, threshold)
+    shown = F.when(F.col("passes"), content if most is None else F.substring(content, 1, most))
+    rows = marked.select(F.col("id").alias("item_id"), "title", shown.alias("content"), "authors", "source", wanted.alias("subtopics"), "passes")
 
     def ask(batch: list[dict]) -> list[dict]:
         names = sorted({s for x in batch for s in x["subtopics"]})
@@ -75,8 +79,9 @@ def classify(items: DataFrame, taxonomy: Taxonomy, classifier: Classifier, size:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            held = [{**r, "subtopics": list(r["subtopics"]) if r["subtopics"] is not None else []} for r in b.to_dict("records")]
-            out = []
+            every = [{**r, "subtopics": list(r["subtopics"]) if r["subtopics"] is not None else []} for r in b.to_dict("records")]
+            held = [x for x in every if x.pop("passes")]
+            out = [(x["item_id"], s, False, "low", BELOW, []) for x in every if x["content"] is None for s in x["subtopics"]]
             for i in range(0, len(held), size):
                 batch = held[i : i + size]
                 try:

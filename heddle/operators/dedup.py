@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heddle.functions.tables import ranked
 from heddle.functions.text import content_hash
 
 
@@ -40,5 +41,12 @@ def unknown(items: DataFrame, known: DataFrame, key: str = "url") -> DataFrame:
 
 
 def numbered_batches(items: DataFrame, size: int, by: str, order: str) -> DataFrame:
-    """``items`` with ``batch``: the first ``size`` rows of each ``by`` in order are 0, the next 1, and so on. A group is sorted, not collected."""
-    return items.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(by).orderBy(order)) - 1) / size))
+    """``items`` with ``batch``: the first ``size`` rows of each ``by`` in order are 0, the next 1, and so on. A group that holds most rows is numbered by many tasks."""
+    return ranked(items, [by], [order], "_place").withColumn("batch", F.floor((F.col("_place") - 1) / size)).drop("_place")
+
+
+def best_by_source(items: DataFrame, order: list[str], source: str = "source", id_col: str = "id") -> DataFrame:
+    """``source, content_hash, id``: the best copy within each source only. Items without a title have no hash and aren't listed."""
+    key = F.struct((-F.length(F.coalesce("abstract", F.lit("")))).alias("l"), *order, F.col(id_col).alias("_id"))
+    best = with_hash(items).where("content_hash is not null").groupBy(source, "content_hash").agg(F.min(key).alias("k"))
+    return best.select(source, "content_hash", F.col("k._id").alias(id_col))

@@ -62,8 +62,11 @@ def with_attachments(items: DataFrame, classifications: DataFrame, item_topics:
     """``items`` with ``classifications``, map<subtopic, struct<relevant, confidence, reasoning, topics>> of all verdicts, and ``connection``.
 
     Topics are attached where their verdict exists. Null texts become "", an item without verdicts gets an empty map, one without
-    a connection a struct that says so. Each side is aggregated before it is joined.
+    a connection a struct that says so. Of each side only what belongs to ``items`` is aggregated, before it is joined: write a filtered
+    feed once before it comes here, as it is read for each side.
     """
+    mine = items.select(F.col("id").alias("item_id"))
+    classifications, item_topics, connections = (x.join(mine, "item_id", "left_semi") for x in (classifications, item_topics, connections))
     topics = item_topics.groupBy("item_id", "subtopic").agg(F.sort_array(F.collect_set("topic_key")).alias("topics"))
     verdicts = latest_verdicts(classifications).join(topics, ["item_id", "subtopic"], "left")
     value = F.struct("relevant", F.coalesce("confidence", F.lit("")).alias("confidence"), F.coalesce("reasoning", F.lit("")).alias("reasoning"), F.coalesce("topics", F.array().cast("array<string>")).alias("topics"))
@@ -89,10 +92,18 @@ def unclassified(items: DataFrame, classifications: DataFrame, now, days: int, l
     return out.limit(limit) if limit else out
 
 
-def item_set_hash(df: DataFrame, group: list[str], id_col: str) -> DataFrame:
-    """``group..., item_hash``: 16 hex digits of a group's ids in numeric order, duplicates kept. The ids of one group are gathered, as the hash needs them."""
+def item_set_hash(df: DataFrame, group: list[str], id_col: str, width: int = 100_000) -> DataFrame:
+    """``group..., item_hash, n_items``: 16 hex digits of a group's ids in numeric order, duplicates kept.
+
+    Ids are hashed in stretches of ``width`` numbers, so no task holds a group. A group within one stretch has the hash of its ids joined
+    by commas; one of several stretches has the hash of the stretches' whole hashes, joined in order.
+    """
     ids = F.transform(F.sort_array(F.collect_list(id_col)), lambda x: x.cast("string"))
-    return df.groupBy(*group).agg(F.substring(F.sha2(F.array_join(ids, ","), 256), 1, 16).alias("item_hash"), F.count("*").alias("n_items"))
+    stretch = F.floor(F.col(id_col) / width).alias("_stretch")
+    each = df.groupBy(*group, stretch).agg(F.sha2(F.array_join(ids, ","), 256).alias("_h"), F.count("*").alias("_n"))
+    parts = F.sort_array(F.collect_list(F.struct("_stretch", "_h")))
+    whole = F.when(F.count("*") == 1, F.max("_h")).otherwise(F.sha2(F.array_join(F.transform(parts, lambda x: x["_h"]), ","), 256))
+    return each.groupBy(*group).agg(F.substring(whole, 1, 16).alias("item_hash"), F.sum("_n").alias("n_items"))
 
 
 def cache_status(current: DataFrame, cached: DataFrame, key: list[str]) -> DataFrame:

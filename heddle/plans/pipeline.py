@@ -58,8 +58,7 @@ def classify_pending(store: Store, taxonomy: Taxonomy, classifier: classify.Clas
     """
     items, verdicts, topics, links = (store.read(t) for t in ("items", "classifications", "item_topics", "network_connections"))
     queue = materialize(feed.unclassified(items, verdicts, now, days, limit).drop("day"))
-    open_, rejected = classify.split_by_prefilter(queue, taxonomy)
-    new = materialize(classify.auto_tagged(classify.classify(open_, taxonomy, classifier).unionByName(rejected), queue, taxonomy))
+    new = materialize(classify.auto_tagged(classify.classify(queue, taxonomy, classifier, threshold=scoring.THRESHOLD), queue, taxonomy))
     if audit:
         claimed = materialize(classify.category_audit(scoring.audit_hits(queue, taxonomy), new, taxonomy)).select("item_id", "subtopic", F.col("topic").alias("_topic"))
         got = F.col("_topic").isNotNull()

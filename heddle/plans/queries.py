@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heddle.functions import dates
 from heddle.functions import text as T
-from heddle.functions.tables import shared_folder, table
+from heddle.functions.tables import materialize, scratch, table
 from heddle.operators import classify, dedup, feed, packed, scoring, summaries, upsert
 from heddle.operators.feed import FeedFilter
 from heddle.operators.taxonomy import Taxonomy
@@ -88,7 +87,8 @@ def feed_connected_only(spark, d):
 
 def feed_nested(spark, d):
     items, c, t = _t(spark, d, "items", "classifications", "item_topics")
-    full = feed.with_attachments(feed.feed(items, c, t, None, FEED), c, t, _connections(spark, d))
+    chosen = materialize(feed.feed(items, c, t, None, FEED))
+    full = feed.with_attachments(chosen, c, t, scoring.network_matches(chosen, _taxonomy(spark, d)))
     verdict = lambda e: F.concat_ws(":", e["key"], e["value"]["relevant"].cast("string"), e["value"]["confidence"], F.array_join(e["value"]["topics"], "+"))
     return full.select("id", "abstract", F.array_join(F.transform(F.array_sort(F.map_entries("classifications")), verdict), ";").alias("verdicts"), F.col("connection.connection_name").alias("connection_name"))
 
@@ -116,9 +116,7 @@ def dedup_best_wins(spark, d):
 
 def dedup_best_per_source(spark, d):
     """The best copy within each source only."""
-    hashed = dedup.with_hash(table(spark, d, "items")).where("content_hash is not null")
-    key = F.struct((-F.length(F.coalesce("abstract", F.lit("")))).alias("l"), "crawled_at", "id")
-    return hashed.groupBy("source", "content_hash").agg(F.min(key).alias("k")).select("source", "content_hash", F.col("k.id").alias("id"))
+    return dedup.best_by_source(table(spark, d, "items"), ["crawled_at"])
 
 
 def dedup_first_wins(spark, d):
@@ -200,8 +198,7 @@ def classified(spark, d):
     items, c = _t(spark, d, "items", "classifications")
     tax = _taxonomy(spark, d)
     queue = feed.unclassified(items, c, NOW, 3650).drop("day")
-    open_, rejected = classify.split_by_prefilter(queue, tax)
-    v = classify.classify(open_, tax, classify.keyword_classifier(tax)).unionByName(rejected)
+    v = classify.classify(queue, tax, classify.keyword_classifier(tax), threshold=scoring.THRESHOLD)
     return v.select("item_id", "subtopic", "relevant", "confidence", F.array_join(F.array_sort("topics"), ",").alias("topics"))
 
 
@@ -464,7 +461,7 @@ def listing_items(spark, d):
 def _event_stream(spark, d):
     """The events as four files that came one after the other."""
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    folder = f"{shared_folder(spark)}/events-{uuid.uuid4().hex}"
+    folder = scratch(spark, "events")
     low, high = e.agg(F.min("ts"), F.max("ts")).first()
     for i in range(4):
         part = e if low is None else e.where(F.floor((F.col("ts").cast("double") - low.timestamp()) / max(1e-6, high.timestamp() - low.timestamp() + 1e-3) * 4) == i)

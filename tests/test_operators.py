@@ -144,6 +144,44 @@ def verdict_rows(spark, rows):
     return spark.createDataFrame(rows, "item_id bigint, subtopic string, relevant boolean, confidence string, reasoning string, topics array<string>")
 
 
+def test_prefilter_within_classification(spark):
+    t = items(spark, {"title": "zoning reform"}, {"title": "nothing"}, {"title": None, "content": ""}, {"title": "reward model alignment"})
+    seen = spark.sparkContext.accumulator(0)
+
+    def ask(prompt, batch):
+        seen.add(len(batch))
+        return classify.keyword_classifier(TAX)(prompt, batch)
+
+    got = {(r.item_id, r.subtopic): (r.relevant, r.reasoning) for r in classify.classify(t, TAX, ask, threshold=0.02).collect()}
+    assert seen.value == 2 and len(got) == 8 and got[(1, "ai")] == got[(2, "abundance")] == (False, classify.BELOW) and got[(0, "abundance")][0]
+
+
+def test_taxonomy_of_a_thousand_topics(spark):
+    big = Taxonomy(tuple(Topic(f"s{i % 20}", f"t{i}", i, keywords=tuple(f"word{i}x{k}" for k in range(10))) for i in range(1000)), network={"author": {f"writer {i} of many": "x" for i in range(500)}})
+    t = items(spark, {"title": "word7x1 and word999x0"}, {"title": "nothing", "authors": "Writer 77 of Many"})
+    assert {(r.item_id, r.topic): r.score for r in scoring.keyword_scores(t, big).where("score > 0").collect()} == {(0, "t7"): 0.1, (0, "t999"): 0.1}
+    assert [r.passes for r in scoring.potentially_relevant(t, big).orderBy("id").collect()] == [True, False]
+    assert [r.connection_name for r in scoring.network_matches(t, big).collect()] == ["Writer 77 of Many"]
+    assert sorted(r.topic for r in scoring.audit_hits(t, big).collect()) == ["t7", "t999"]
+
+
+def test_batches_of_a_hot_source_and_null(spark):
+    rows = [(i, "hot" if i % 3 else None if i % 2 else "b") for i in range(200)]
+    t = spark.createDataFrame(rows, "id int, source string").repartition(7)
+    got = {r.id: r.batch for r in dedup.numbered_batches(t, 5, "source", "id").collect()}
+    want = {i: n // 5 for s in ("hot", None, "b") for n, i in enumerate(i for i, x in rows if x == s)}
+    assert got == want and dedup.numbered_batches(t.limit(0), 5, "source", "id").count() == 0
+
+
+def test_set_hash_by_stretches(spark):
+    import hashlib
+
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    df = spark.createDataFrame([("a", 3), ("a", 12), ("a", 11), ("b", 11), ("b", 12), (None, 1)], "g string, i bigint")
+    got = {r.g: (r.item_hash, r.n_items) for r in feed.item_set_hash(df, ["g"], "i", 10).collect()}
+    assert got == {"a": (sha(sha("3") + "," + sha("11,12"))[:16], 3), "b": (sha("11,12")[:16], 2), None: (sha("1")[:16], 1)}
+
+
 def test_auto_tags(spark):
     t = items(spark, {"source": "movement"}, {"source": "other"})
     v = verdict_rows(spark, [(0, "abundance", True, "", "", []), (0, "ai", True, "", "", []), (1, "abundance", True, "", "", []), (9, "abundance", True, "", "", ["housing"])])
