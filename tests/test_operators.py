@@ -158,10 +158,10 @@ def test_prefilter_within_classification(spark):
 
 def test_taxonomy_of_a_thousand_topics(spark):
     big = Taxonomy(tuple(Topic(f"s{i % 20}", f"t{i}", i, keywords=tuple(f"word{i}x{k}" for k in range(10))) for i in range(1000)), network={"author": {f"writer {i} of many": "x" for i in range(500)}})
-    t = items(spark, {"title": "word7x1 and word999x0"}, {"title": "nothing", "authors": "Writer 77 of Many"})
+    t = items(spark, {"title": "word7x1 and word999x0"}, {"title": "nothing", "authors": "Writer 77 Of Many"})
     assert {(r.item_id, r.topic): r.score for r in scoring.keyword_scores(t, big).where("score > 0").collect()} == {(0, "t7"): 0.1, (0, "t999"): 0.1}
     assert [r.passes for r in scoring.potentially_relevant(t, big).orderBy("id").collect()] == [True, False]
-    assert [r.connection_name for r in scoring.network_matches(t, big).collect()] == ["Writer 77 of Many"]
+    assert [r.connection_name for r in scoring.network_matches(t, big).collect()] == ["Writer 77 Of Many"]
     assert sorted(r.topic for r in scoring.audit_hits(t, big).collect()) == ["t7", "t999"]
 
 
