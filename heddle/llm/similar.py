@@ -14,15 +14,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from heddle.functions.tables import materialize
 from heddle.llm.words import chunks, mix, runs, words_of
 
-BANDS, ROWS = 96, 5  # a pair at similarity 0.5 is missed once in 21 times, at 0.55 once in 150, at 0.6 once in 2,300
-COMPARED, ESTIMATE = 128, 0.30  # coordinates of a signature (a byte each), and the share of equal ones for an exact comparison
-LARGE_BUCKET, SUB_BANDS, SUB_ROWS = 100, 48, 2  # a pair at similarity 0.5 that shares a large bucket is missed there once in 10^6 times (0.75^48)
-SLOTS = 1 << 24  # bits of the bitmap that tells which classes are asked for: 2 MB
+BANDS, ROWS = 128, 5  # a pair at similarity 0.5 is missed once in 58 times, at 0.55 once in 800, at 0.6 once in 30,000
+COMPARED, MARGIN = 128, 0.20  # coordinates of a signature, four bits each, and how far below the threshold its estimate may lie for an exact comparison
+CELL = 500  # classes of one side of a cell: a bucket of more is compared in several cells, each two of its parts in one
+PAIRS = 2_000  # pairs whose shingle sets are compared together, about
+SLOTS = 27  # the bitmap that tells which classes are asked for has at most 2^27 bits, 16 MB
 
 
 def sketches(elements: np.ndarray, owner: np.ndarray, n: int, t: int) -> np.ndarray:
@@ -77,15 +77,15 @@ def _banded(batches: Iterator[pd.DataFrame], k: int, bands: int, rows: int) -> I
 def _asked_for(batches: Iterator[pd.DataFrame], bitmap: np.ndarray) -> Iterator[pd.DataFrame]:
     """The rows of classes whose slot in the bitmap is set: all that are asked for and a few more."""
     for b in map(_once, batches):
-        slot = b["rep"].to_numpy().view(np.uint64) & np.uint64(SLOTS - 1)
+        slot = b["rep"].to_numpy().view(np.uint64) & np.uint64(len(bitmap) * 64 - 1)
         yield b[(bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1]
 
 
 def _signed(batches: Iterator[pd.DataFrame], k: int, t: int) -> Iterator[pd.DataFrame]:
     for b in batches:
         for ids, element, owner in _sets(b["rep"], b["text"].tolist(), k):
-            s = sketches(element ^ np.uint64(0x5851F42D4C957F2D), owner, len(ids), t)
-            yield pd.DataFrame({"rep": ids, "sig": [x.tobytes() for x in (s & np.uint64(255)).astype(np.uint8)]})
+            s = (sketches(element ^ np.uint64(0x5851F42D4C957F2D), owner, len(ids), t) & np.uint64(15)).astype(np.uint8)
+            yield pd.DataFrame({"rep": ids, "sig": [x.tobytes() for x in s[:, ::2] << 4 | s[:, 1::2]]})
 
 
 def _shingled(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
@@ -95,22 +95,57 @@ def _shingled(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]
             yield pd.DataFrame({"rep": ids, "shingles": [element[x:y].astype("<u8").tobytes() for x, y in zip(cut[:-1], cut[1:])]})
 
 
-@F.pandas_udf(DoubleType())
-def _equal_share(a: pd.Series, b: pd.Series) -> pd.Series:
-    if not len(a):
-        return pd.Series([], dtype=float)
-    x, y = (np.frombuffer(b"".join(s), dtype=np.uint8).reshape(len(a), -1) for s in (a, b))
-    return pd.Series((x == y).mean(axis=1))
+def _estimates(sig: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The similarity that the signatures of each two rows suggest: the share of equal coordinates, less the sixteenth that agree by chance."""
+    out = np.empty(len(a))
+    for i in range(0, len(a), 100_000):
+        x = sig[a[i : i + 100_000]] ^ sig[b[i : i + 100_000]]
+        equal = ((x & 15) == 0).mean(axis=1) / 2 + ((x >> 4) == 0).mean(axis=1) / 2
+        out[i : i + 100_000] = (equal - 1 / 16) * 16 / 15
+    return out
+
+
+def _compared(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
+    """The pairs of each cell whose signatures suggest ``least`` or more. Rows come sorted by cell; a cell has at most some hundreds on each side."""
+
+    def pairs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        cell, rep, side = rows["cell"].to_numpy(), rows["rep"].to_numpy(), rows["side"].to_numpy()
+        sig = np.frombuffer(b"".join(rows["sig"]), dtype=np.uint8).reshape(len(rows), -1)
+        start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+        size = np.diff(np.append(start, len(cell)))
+        for m in np.unique(size[size > 1]):
+            first, second = np.triu_indices(m, 1)
+            at = start[size == m]
+            for i in range(0, len(at), max(1, 500_000 // len(first))):
+                own = at[i : i + max(1, 500_000 // len(first)), None]
+                a, b = (own + first).ravel(), (own + second).ravel()
+                # side 2 is that of a cell within one part; in another cell only rows of different sides are a pair
+                keep = (side[a] == 2) | (side[a] != side[b])
+                a, b = a[keep], b[keep]
+                near = _estimates(sig, a, b) >= least
+                a, b = a[near], b[near]
+                yield pd.DataFrame({"a": np.minimum(rep[a], rep[b]), "b": np.maximum(rep[a], rep[b]), "cell": cell[a]})
+
+    held = None
+    for b in batches:
+        b = b if held is None or held.empty else pd.concat([held, b], ignore_index=True)
+        cut = int(np.searchsorted(b["cell"].to_numpy(), b["cell"].iloc[-1])) if len(b) else 0
+        yield from pairs(b.iloc[:cut]) if cut else ()
+        held = b.iloc[cut:]
+    if held is not None and len(held):
+        yield from pairs(held)
+
 
+def _exact(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+    """The Jaccard similarity of each pair, from the shingle sets of the classes in it."""
+    of = {r: np.frombuffer(x, dtype="<u8") for r, x in zip(sets["rep"], sets["shingles"])}
 
-@F.pandas_udf(DoubleType())
-def _jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-    def one(x: bytes, y: bytes) -> float:
-        x, y = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
+    def one(a: int, b: int) -> float:
+        x, y = of[a], of[b]
         both = len(np.intersect1d(x, y, assume_unique=True))
         return both / max(1, len(x) + len(y) - both)
 
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=float)
+    return pd.DataFrame({"a": pairs["a"], "b": pairs["b"], "similarity": [one(a, b) for a, b in zip(pairs["a"], pairs["b"])]})
 
 
 def _rows(df: DataFrame, id_col: str, text: F.Column) -> DataFrame:
@@ -128,63 +163,60 @@ def _buckets(texts: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame
     return materialize(counted.where("n > 1 and new = 1").select("rep", "bucket", "n"))
 
 
-def _bitmap(pairs: DataFrame) -> np.ndarray:
-    """A bitmap of SLOTS bits in which the slots of all classes of ``pairs`` are set. Its size doesn't grow with the rows; where many slots are set it just keeps fewer rows back."""
-    each = pairs.select(F.explode(F.array("a", "b")).alias("rep")).select(F.col("rep").bitwiseAND(F.lit(SLOTS - 1).cast("bigint")).alias("s"))
-    words = each.select(F.shiftright("s", 6).alias("w"), F.expr("shiftleft(1L, cast(s % 64 as int))").alias("bit"))
-    out = np.zeros(SLOTS // 64, dtype=np.int64)
+def _bitmap(asked: DataFrame) -> np.ndarray:
+    """A bitmap in which the slots of all ``rep`` of ``asked`` are set. It has eight bits or more for each, up to 2^SLOTS bits; where more are asked for it just keeps fewer rows back."""
+    each = asked.select("rep").distinct()
+    bits = 1 << min(SLOTS, max(10, (8 * each.count()).bit_length()))
+    slot = each.select(F.col("rep").bitwiseAND(F.lit(bits - 1).cast("bigint")).alias("s"))
+    words = slot.select(F.shiftright("s", 6).alias("w"), F.expr("shiftleft(1L, cast(s % 64 as int))").alias("bit"))
+    out = np.zeros(bits // 64, dtype=np.int64)
     got = words.groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas()
     out[got["w"].to_numpy(dtype=np.int64)] = got["bits"].to_numpy(dtype=np.int64)
     return out.view(np.uint64)
 
 
-def _within(keyed: DataFrame, key: list[str]) -> DataFrame:
-    left, right = (keyed.select(*key, F.col("rep").alias(x)) for x in "ab")
-    return left.join(right, key).where("a < b").select("a", "b")
-
-
-def _candidates(texts: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """Distinct pairs ``a < b`` of classes that share a bucket; in a bucket of over LARGE_BUCKET classes, those that share a bucket within it too.
+def _cells(held: DataFrame) -> DataFrame:
+    """``cell, side, rep``: the classes of each bucket laid out so that each two of them meet in one cell, and no cell has many.
 
-    A large bucket isn't paired off: its classes are thrown into SUB_BANDS finer ones by SUB_ROWS coordinates of an independent
-    sketch each, so that the unlike are parted. A pair at similarity s is lost there with probability (1 - s^SUB_ROWS)^SUB_BANDS, however large
-    the bucket and in however many buckets: at 0.5 once in 10^6 times, at 0.4 once in 4,300.
+    A bucket of over CELL classes is parted by hash; each two parts are a cell (sides 0 and 1), each part is one (side 2). A class is in as many
+    cells as its bucket has parts, so a hot bucket is spread over tasks and none of its pairs is left out.
     """
-    held = _buckets(texts, shingle, bands, rows)
-    small = _within(held.where(F.col("n") <= LARGE_BUCKET), ["bucket"])
-    large = held.where(F.col("n") > LARGE_BUCKET).select("rep", "bucket")
-    if large.isEmpty():
-        return small.distinct()
-    bitmap = _bitmap(large.select(F.col("rep").alias("a"), F.col("rep").alias("b")))
-    signed = texts.select("rep", "text").mapInPandas(lambda it: _signed(_asked_for(it, bitmap), shingle, COMPARED), "rep bigint, sig binary").dropDuplicates(["rep"])
-    fine = F.explode(F.transform(F.sequence(F.lit(0), F.lit(SUB_BANDS - 1)), lambda j: F.xxhash64(j, F.substring("sig", SUB_ROWS * j + 1, F.lit(SUB_ROWS)))))
-    return small.union(_within(large.join(signed, "rep").select("rep", "bucket", fine.alias("finer")), ["bucket", "finer"])).distinct()
+    parts = F.ceil(F.col("n") / CELL).cast("int")
+    own = F.pmod(F.xxhash64("rep", F.lit(1)), parts).cast("int")
+    spread = held.select("bucket", "rep", own.alias("own"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    cell = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other"))
+    return spread.select(cell.alias("cell"), side.alias("side"), "rep")
 
 
 def similar_pairs(df: DataFrame, id_col: str, text: F.Column, threshold: float = 0.8, shingle: int = 5, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(links, classes). links: ``a, b, similarity``, a < b, the pairs of classes of copies whose Jaccard similarity over distinct runs of
     ``shingle`` words is at least ``threshold``; classes: ``id, rep``, the class of every row, a 64-bit hash of its text.
 
-    Texts stay where they are, in every step: they are sketched there, and only (class, bucket) is shuffled. Pairs that share a bucket are
-    compared by signatures of a byte a coordinate, and those whose share of equal coordinates leaves the threshold possible by their whole
-    shingle sets; signatures and sets are made of the classes asked for, held back by a bitmap of fixed size. Null ids are no rows; null
+    Texts stay where they are, in every step: they are sketched there, and only (class, bucket) is shuffled. All classes of a bucket are compared by
+    signatures, however many they are: a signature goes once to each cell of its class, and only pairs whose estimate leaves the threshold possible
+    leave the cell. Those are compared by their whole shingle sets, pairs of a cell together, so that a set is sent once for all its pairs there.
+    Signatures and sets are made of the classes asked for, held back by a bitmap of bounded size. Null ids are no rows; null
     texts count as ""; texts with fewer than ``shingle`` words have no runs and no links. Links are direct, never by way of a third row.
     An id that comes with several texts is in the class of each.
     """
     texts = _rows(df, id_col, text)
-    pairs = materialize(_candidates(texts, shingle, bands, rows))
 
-    def of(pairs: DataFrame, fn, value: str) -> DataFrame:
-        bitmap = _bitmap(pairs)
-        made = texts.select("rep", "text").mapInPandas(lambda it: fn(_asked_for(it, bitmap)), f"rep bigint, {value} binary").dropDuplicates(["rep"])
-        return pairs.join(made.toDF("a", "x"), "a").join(made.toDF("b", "y"), "b")
+    def made(asked: DataFrame, fn, value: str) -> DataFrame:
+        bitmap = _bitmap(asked)
+        return texts.select("rep", "text").mapInPandas(lambda it: fn(_asked_for(it, bitmap), shingle), f"rep bigint, {value} binary").dropDuplicates(["rep"])
 
-    least = max(0.0, threshold - (0.5 - ESTIMATE))
-    near = of(pairs, lambda it: _signed(it, shingle, COMPARED), "sig").where(_equal_share("x", "y") >= least).select("a", "b")
-    near = materialize(near.distinct())
-    exact = of(near, lambda it: _shingled(it, shingle), "shingles").select("a", "b", _jaccard("x", "y").alias("similarity"))
-    links = exact.where(F.col("similarity") >= threshold).groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
-    return materialize(links), texts.select("id", "rep")
+    held = _buckets(texts, shingle, bands, rows)
+    signed = made(held, lambda it, k: _signed(it, k, COMPARED), "sig")
+    laid = _cells(held).join(signed, "rep").repartition("cell").sortWithinPartitions("cell")
+    least = max(0.0, threshold - MARGIN)
+    near = laid.mapInPandas(lambda it: _compared(it, least), "a bigint, b bigint, cell bigint").groupBy("a", "b").agg(F.min("cell").alias("cell"))
+    near = materialize(near)
+    part = F.pmod(F.xxhash64("cell"), F.lit(max(1, near.count() // PAIRS)))
+    member = near.select(part.alias("part"), F.explode(F.array("a", "b")).alias("rep")).distinct()
+    sets = member.join(made(member, _shingled, "shingles"), "rep")
+    exact = near.select("a", "b", part.alias("home")).groupBy("home").cogroup(sets.groupBy("part")).applyInPandas(_exact, "a bigint, b bigint, similarity double")
+    return materialize(exact.where(F.col("similarity") >= threshold)), texts.select("id", "rep")
 
 
 def all_pairs(links: DataFrame, member: DataFrame) -> DataFrame:
@@ -199,19 +231,21 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, root``: connected components of ``a, b`` edges, root the least node of each. Nodes without edges have no row.
 
     Rounds of alternating large-star and small-star (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014), each
-    written to the shared folder; only the number of changed edges comes to the driver.
+    written to the shared folder; only a count and checksums of the edges come to the driver.
     """
+    def state(e: DataFrame):
+        return e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 31)))).first()
+
     now = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    while True:
+    was, is_ = None, state(now)
+    while was != is_:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low2 = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low2, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low2.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        after = materialize(small)
-        if after.exceptAll(now).isEmpty() and now.exceptAll(after).isEmpty():
-            break
-        now = after
+        now = materialize(small)
+        was, is_ = is_, state(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
 
 
