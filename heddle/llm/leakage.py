@@ -1,11 +1,13 @@
 """Evaluation texts leaking into training text: fingerprints of windows, multi-index Hamming blocks, exact verification.
 
-Each test item is laid out in windows of WINDOW words. A window's fingerprint is the SimHash of its weighted word shingles; its 64 bits
-are held in four blocks of 16, so that any two fingerprints within RADIUS agree in a block. Windows of every document are
-fingerprinted the same way and looked up by block. A run of WINDOW words that stands in both texts has the same
-fingerprint in both, so no passage of RUN words is missed, nor a document that keeps SHARE of an item's three-word runs with words put
-in, left out or exchanged: each gap costs two or more of the item's runs. Items of up to 45 runs, of which SHARE may be left without
-as many windows as RUN words have, are looked up by their three-word runs instead.
+Test items and documents are laid out in windows of words. A window's fingerprint is the SimHash of its word shingles; its 64 bits
+are held in RADIUS + 1 blocks, so that any two fingerprints within RADIUS agree in a block, and the blocks are what documents and items are
+joined by. A candidate is verified by the shingles and runs of both whole texts.
+
+No leak is missed: a run of RUN words holds RUN - WINDOW + 1 windows that stand in both texts. A document that keeps SHARE of an item's
+three-word runs, with words put in, left out or exchanged, loses two runs or more at each gap, and holds as many windows if the item has more than
+45 runs; shorter items are looked up by windows of one shingle. As a leak has so many windows, an item's RUN - WINDOW commonest ones (an
+instruction that many items share) needn't be looked up.
 """
 
 from __future__ import annotations
@@ -14,21 +16,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heddle.functions.tables import has_text
+from heddle.functions.tables import has_text, materialize
+from heddle.llm.similar import bitmap_of, in_bitmap
 from heddle.llm.words import chunks, mix, runs, words_of
 
-WINDOW, SHINGLE, RADIUS = 5, 3, 3
+WINDOW, SHINGLE, RADIUS = 5, 3, 1
 RUN, SHARE = 12, 0.6
-MAX_ITEMS = 20_000  # test items that go to the tasks at a time; more are taken in parts
+TOGETHER = 16  # groups by hash in which the items of one document are verified, so that a document of very many isn't one row
 
 
 def fingerprints(hashes: np.ndarray, doc: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """SimHash of every window of ``window`` words that lies within one text, and the index of its first word.
 
-    Shingles weigh 1 to 4, by their hash: a fixed weight breaks the ties that equal weights would leave in so few votes.
+    A window has an odd number of shingles, so no vote is tied, and one shingle exchanged changes about a quarter of the bits.
     """
     shingle, _ = runs(hashes, doc, SHINGLE)
     n = len(hashes) - window + 1
@@ -40,11 +43,10 @@ def fingerprints(hashes: np.ndarray, doc: np.ndarray, window: int = WINDOW) -> t
     short = np.minimum(lengths, SHINGLE - 1)
     first = starts - (np.cumsum(short) - short)[doc[starts]]
     k = window - SHINGLE + 1
-    weight = (1 + (shingle >> np.uint64(62))).astype(np.int8)
     out = np.zeros(len(starts), dtype=np.uint64)
     bits = mix(shingle + np.uint64(0x9E3779B97F4A7C15))
     for b in range(64):
-        vote = np.where((bits >> np.uint64(b)) & np.uint64(1), weight, -weight).astype(np.int8)
+        vote = ((bits >> np.uint64(b)) & np.uint64(1)).astype(np.int8) * np.int8(2) - np.int8(1)
         total = np.zeros(len(starts), dtype=np.int8)
         for j in range(k):
             total += vote[first + j]
@@ -52,93 +54,121 @@ def fingerprints(hashes: np.ndarray, doc: np.ndarray, window: int = WINDOW) -> t
     return out, starts
 
 
-class Items:
-    """Test items ready for lookup: fingerprints by block of 16 bits, and their runs for verification."""
-
-    def __init__(self, ids: list[int], texts: list[str]):
-        hashes, doc, *_ = words_of(texts) if texts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        self.ids = np.array(ids, dtype=np.int64)
-        prints, starts = fingerprints(hashes, doc)
-        self.prints, self.owner = prints, doc[starts]
-        self.blocks = []
-        for k in range(4):
-            key = ((prints >> np.uint64(16 * k)) & np.uint64(0xFFFF)).astype(np.int64)
-            order = np.argsort(key, kind="stable")
-            self.blocks.append((order, np.searchsorted(key[order], np.arange((1 << 16) + 1))))
-        three, at3 = runs(hashes, doc, SHINGLE)
-        long, at12 = runs(hashes, doc, RUN)
-        self.three = [np.unique(three[at3 == i]) for i in range(len(ids))]
-        self.long = [np.unique(long[at12 == i]) for i in range(len(ids))]
-        self.least = np.full(len(ids), RUN - WINDOW + 1)
-        # k stretches of an item of n runs hold n + 2 - 2k of them and n + 2 - 4k windows, so with SHARE of the runs n / 5 - 2 windows at least;
-        # items of so few runs that this is less than a passage of RUN words has are looked up by their three-word runs
-        self.short: dict[int, list[int]] = {}
-        for i, t in enumerate(self.three):
-            if np.ceil(SHARE * len(t) / (WINDOW - SHINGLE + 1)) - 2 < RUN - WINDOW + 1:
-                for h in t:
-                    self.short.setdefault(int(h), []).append(i)
-
-    def candidates(self, prints: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        """Rows (document, item) with as many windows within RADIUS as a leak has at least."""
-        found = []
-        for k, (order, cut) in enumerate(self.blocks):
-            key = ((prints >> np.uint64(16 * k)) & np.uint64(0xFFFF)).astype(np.int64)
-            n = cut[key + 1] - cut[key]
-            mine = np.repeat(np.arange(len(prints)), n)
-            theirs = order[np.arange(len(mine)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(cut[key], n)]
-            ok = np.bitwise_count(prints[mine] ^ self.prints[theirs]) <= RADIUS
-            found.append(np.stack([mine[ok], self.owner[theirs[ok]]], axis=1))
-        hit = np.unique(np.concatenate(found), axis=0)
-        pair, n = np.unique(np.stack([doc[hit[:, 0]], hit[:, 1]], axis=1), axis=0, return_counts=True)
-        return pair[n >= self.least[pair[:, 1]]]
-
-
-def _leaks(batches: Iterator[pd.DataFrame], ids: list[int], texts: list[str]) -> Iterator[pd.DataFrame]:
-    items = Items(ids, texts)
+def _keys(prints: np.ndarray, window: int) -> list[np.ndarray]:
+    """A key for each block of each fingerprint, distinct for windows of each size."""
+    bits = 64 // (RADIUS + 1)
+    mask = np.uint64((1 << bits) - 1)
+    return [mix(((prints >> np.uint64(bits * k)) & mask) ^ mix(np.array([window * 64 + k + 1], dtype=np.uint64))).view(np.int64) for k in range(RADIUS + 1)]
+
+
+def _looked_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The fingerprints of each item's windows, with how many windows have each, and how many of an item's windows may be left out."""
     for b in batches:
-        doc_ids = b["doc_id"].to_numpy()
+        ids = b["item_id"].to_numpy()
         for first, part in chunks(b["text"]):
             hashes, doc, *_ = words_of(part)
-            prints, starts = fingerprints(hashes, doc)
-            pairs = [tuple(p) for p in items.candidates(prints, doc[starts])] if len(prints) and len(items.prints) else []
             three, at3 = runs(hashes, doc, SHINGLE)
-            if items.short:
-                hit = np.flatnonzero(np.isin(three, np.fromiter(items.short, dtype=np.uint64)))
-                pairs = sorted({*pairs, *((int(at3[h]), i) for h in hit for i in items.short[int(three[h])])})
-            long, at12 = runs(hashes, doc, RUN)
-            out = []
-            for d, i in pairs:
-                own3 = three[np.searchsorted(at3, d) : np.searchsorted(at3, d, side="right")]
-                own12 = long[np.searchsorted(at12, d) : np.searchsorted(at12, d, side="right")]
-                share = float(np.isin(items.three[i], own3).mean()) if len(items.three[i]) else 0.0
-                run = bool(np.isin(items.long[i], own12).any())
-                if run or share >= SHARE:
-                    out.append((int(doc_ids[first + d]), int(items.ids[i]), share, run))
-            if out:
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "share", "has_run"])
+            n = np.array([len(np.unique(three[at3 == i])) for i in range(len(part))])
+            # k stretches of an item of n runs hold n + 2 - 2k of them and n + 2 - 4k windows, so with SHARE of the runs n / 5 - 2 windows at least
+            short = np.ceil(SHARE * n / (WINDOW - SHINGLE + 1)) - 2 < RUN - WINDOW + 1
+            for size, spare, mine in ((WINDOW, RUN - WINDOW, ~short), (SHINGLE, 0, short)):
+                prints, starts = fingerprints(hashes, doc, size)
+                own = doc[starts]
+                keep = mine[own] if len(own) else np.zeros(0, dtype=bool)
+                yield pd.DataFrame({"item_id": ids[first + own[keep]], "print": prints[keep].view(np.int64), "size": size, "spare": spare})
+
+
+def _blocked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        for size in (WINDOW, SHINGLE):
+            own = b[b["size"] == size]
+            for key in _keys(own["print"].to_numpy().view(np.uint64), size):
+                yield pd.DataFrame({"key": key, "own": own["print"].to_numpy(), "item_id": own["item_id"].to_numpy()})
+
+
+def _met(batches: Iterator[pd.DataFrame], bitmap: np.ndarray, sizes: list[int]) -> Iterator[pd.DataFrame]:
+    """The blocks of each document's windows that some item may have, each once a document."""
+    for b in batches:
+        ids = b["doc_id"].to_numpy()
+        for first, part in chunks(b["text"]):
+            hashes, doc, *_ = words_of(part)
+            for size in sizes:
+                prints, starts = fingerprints(hashes, doc, size)
+                own = doc[starts]
+                for key in _keys(prints, size):
+                    hit = in_bitmap(bitmap, key)
+                    yield pd.DataFrame({"key": key[hit], "print": prints[hit].view(np.int64), "doc_id": ids[first + own[hit]]}).drop_duplicates()
+
+
+def _profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each item's distinct shingles and its runs of RUN words."""
+    for b in batches:
+        ids = b["item_id"].to_numpy()
+        for first, part in chunks(b["text"]):
+            hashes, doc, *_ = words_of(part)
+            (three, at3), (long, at12) = runs(hashes, doc, SHINGLE), runs(hashes, doc, RUN)
+            yield pd.DataFrame([(ids[first + i], np.unique(three[at3 == i]).view(np.int64), np.unique(long[at12 == i]).view(np.int64)) for i in range(len(part))], columns=["item_id", "three", "long"])
+
+
+def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each document and its candidates: the share of the item's shingles it holds, each counted once and by its weight, and whether it holds a run."""
+    for b in batches:
+        docs, held = b["doc_id"].to_numpy(), b["items"].tolist()
+        out = []
+        for first, part in chunks(b["text"]):
+            hashes, doc, *_ = words_of(part)
+            (three, at3), (long, at12) = runs(hashes, doc, SHINGLE), runs(hashes, doc, RUN)
+            for d in range(len(part)):
+                own3, own12 = (np.unique(x[np.searchsorted(at, d) : np.searchsorted(at, d, side="right")].view(np.int64)) for x, at in ((three, at3), (long, at12)))
+                for x in held[first + d]:
+                    both = np.isin(np.asarray(x["three"], dtype=np.int64), own3)
+                    weight = np.asarray(x["weights"], dtype=float)
+                    if len(both):
+                        out.append((docs[first + d], x["item_id"], float(both.mean()), float(weight[both].sum() / weight.sum()), bool(np.isin(np.asarray(x["long"], dtype=np.int64), own12).any())))
+        yield pd.DataFrame(out, columns=["doc_id", "item_id", "share", "weighted", "has_run"])
+
+
+def candidates(rows: DataFrame, test: DataFrame) -> DataFrame:
+    """``doc_id, item_id``: each document (``doc_id, text``) and item (``item_id, text``) that have windows within RADIUS of one another, as many as a leak has at least."""
+    prints = test.mapInPandas(_looked_up, "item_id bigint, print bigint, size int, spare int").groupBy("item_id", "print", "size", "spare").agg(F.count("*").alias("n"))
+    common = prints.groupBy("size", "print").agg(F.count("*").alias("n_items"))
+    order = Window.partitionBy("item_id").orderBy(F.col("n_items").desc(), "print").rowsBetween(Window.unboundedPreceding, 0)
+    kept = prints.join(common, ["size", "print"]).withColumn("up_to", F.sum("n").over(order)).where(F.col("up_to") > F.col("spare"))
+    keys = materialize(kept.select("item_id", "print", "size").mapInPandas(_blocked, "key bigint, own bigint, item_id bigint"))
+    bitmap, sizes = bitmap_of(keys.select("key")), [r[0] for r in kept.select("size").distinct().collect()]
+    met = rows.mapInPandas(lambda it: _met(it, bitmap, sizes), "key bigint, print bigint, doc_id bigint")
+    near = F.bit_count(F.col("print").bitwiseXOR(F.col("own"))) <= RADIUS
+    return met.join(keys, "key").where(near).select("doc_id", "item_id").distinct()
 
 
 def leaked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """``doc_id, item_id, share, has_run``: the documents that hold RUN words in a row of a test item, or SHARE of its distinct three-word runs.
+    """``doc_id, item_id, share, weighted, has_run``: the documents that hold RUN words in a row of a test item, or SHARE of its distinct three-word runs.
 
-    Documents stay where they are and are read once; test items go to every task, MAX_ITEMS at a time, whatever the number of documents.
-    Null and "" texts and rows without an id hold nothing, in either table; an item of fewer than three words can't be found. Whole texts are read. A document or
-    item that comes twice has its pairs once.
+    weighted is the share with each run weighed by its rarity among the items, so that an instruction of many items counts for little. Documents are
+    fingerprinted where they are; what is shuffled are the blocks that some item has, told by a bitmap of bounded size, and the texts of candidates.
+    Neither items nor fingerprints come to the driver, and documents are read twice whatever the number of items. Null and "" texts and rows without
+    an id hold nothing, in either table; an item of fewer than three words can't be found. Whole texts are read. A document or item that comes twice has its pairs once.
     """
-    test = items.where(has_text(F.col(item_text)) & F.col(item_id).isNotNull()).select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).distinct()
-    parts = max(1, -(-test.count() // MAX_ITEMS))
+    test = materialize(items.where(has_text(F.col(item_text)) & F.col(item_id).isNotNull()).select(F.col(item_id).cast("bigint").alias("item_id"), F.col(item_text).alias("text")).distinct())
     rows = docs.where(has_text(F.col(text)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    found = None
-    for part in range(parts):
-        held = test.where(F.pmod(F.xxhash64("i"), F.lit(parts)) == part).collect()
-        ids, texts = [r["i"] for r in held], [r["t"] for r in held]
-        one = rows.mapInPandas(lambda it, ids=ids, texts=texts: _leaks(it, ids, texts), "doc_id bigint, item_id bigint, share double, has_run boolean")
-        found = one if found is None else found.union(one)
-    return found.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"), F.max("has_run").alias("has_run"))
+    pairs = materialize(candidates(rows, test))
+
+    profiles = test.mapInPandas(_profiles, "item_id bigint, three array<bigint>, long array<bigint>").join(pairs.select("item_id").distinct(), "item_id", "left_semi")
+    each = profiles.select("item_id", "long", F.explode("three").alias("h"))
+    rarity = profiles.select(F.explode("three").alias("h")).groupBy("h").agg((1 / F.count("*")).alias("w"))
+    weighed = each.join(rarity, "h").groupBy("item_id", "long").agg(F.collect_list("h").alias("three"), F.collect_list("w").alias("weights"))
+    held = pairs.join(weighed, "item_id").groupBy("doc_id", F.pmod(F.xxhash64("item_id"), F.lit(TOGETHER)).alias("part")).agg(F.collect_list(F.struct("item_id", "three", "weights", "long")).alias("items"))
+    asked = bitmap_of(pairs.select(F.xxhash64("doc_id")))
+    concerned = rows.withColumn("slot", F.xxhash64("doc_id")).mapInPandas(lambda it: (b.loc[in_bitmap(asked, b["slot"].to_numpy()), ["doc_id", "text"]] for b in it), "doc_id bigint, text string")
+    found = concerned.join(held, "doc_id").select("doc_id", "text", "items").mapInPandas(_verified, "doc_id bigint, item_id bigint, share double, weighted double, has_run boolean")
+    leaks = found.where(F.col("has_run") | (F.col("share") >= SHARE))
+    return leaks.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"), F.max("weighted").alias("weighted"), F.max("has_run").alias("has_run"))
 
 
 def leak_report(found: DataFrame, items: DataFrame, item_id: str = "item_id") -> DataFrame:
-    """``item_id, suite, n_docs, n_runs, max_share`` for every test item, 0 for those that leaked nowhere."""
-    per = found.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.count_if("has_run").alias("n_runs"), F.max("share").alias("max_share"))
+    """``item_id, suite, n_docs, n_runs, max_share, max_weighted`` for every test item, 0 for those that leaked nowhere."""
+    per = found.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.count_if("has_run").alias("n_runs"), F.max("share").alias("max_share"), F.max("weighted").alias("max_weighted"))
     out = items.select(F.col(item_id).cast("bigint").alias("item_id"), "suite").distinct().join(per, "item_id", "left")
-    return out.select("item_id", "suite", F.coalesce("n_docs", F.lit(0)).cast("bigint").alias("n_docs"), F.coalesce("n_runs", F.lit(0)).cast("bigint").alias("n_runs"), F.round(F.coalesce("max_share", F.lit(0.0)), 6).alias("max_share"))
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    share = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 6).alias(c)
+    return out.select("item_id", "suite", count("n_docs"), count("n_runs"), share("max_share"), share("max_weighted"))

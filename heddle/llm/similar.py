@@ -74,11 +74,16 @@ def _banded(batches: Iterator[pd.DataFrame], k: int, bands: int, rows: int) -> I
             yield pd.DataFrame({"rep": np.repeat(ids[have], bands), "bucket": key.reshape(-1).view(np.int64)})
 
 
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether the slot of each value (int64) is set in a bitmap."""
+    slot = values.view(np.uint64) & np.uint64(len(bitmap) * 64 - 1)
+    return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
 def _asked_for(batches: Iterator[pd.DataFrame], bitmap: np.ndarray) -> Iterator[pd.DataFrame]:
     """The rows of classes whose slot in the bitmap is set: all that are asked for and a few more."""
     for b in map(_once, batches):
-        slot = b["rep"].to_numpy().view(np.uint64) & np.uint64(len(bitmap) * 64 - 1)
-        yield b[(bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1]
+        yield b[in_bitmap(bitmap, b["rep"].to_numpy())]
 
 
 def _signed(batches: Iterator[pd.DataFrame], k: int, t: int) -> Iterator[pd.DataFrame]:
@@ -163,11 +168,12 @@ def _buckets(texts: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame
     return materialize(counted.where("n > 1 and new = 1").select("rep", "bucket", "n"))
 
 
-def _bitmap(asked: DataFrame) -> np.ndarray:
-    """A bitmap in which the slots of all ``rep`` of ``asked`` are set. It has eight bits or more for each, up to 2^SLOTS bits; where more are asked for it just keeps fewer rows back."""
-    each = asked.select("rep").distinct()
+def bitmap_of(values: DataFrame) -> np.ndarray:
+    """A bitmap in which the slot of every value is set (one column, hashes of 64 bits): the low bits of a value are its slot. It has eight bits or
+    more for each value, up to 2^SLOTS bits, so its size has a bound; where more are asked for it just keeps fewer rows back."""
+    each = values.toDF("v").distinct()
     bits = 1 << min(SLOTS, max(10, (8 * each.count()).bit_length()))
-    slot = each.select(F.col("rep").bitwiseAND(F.lit(bits - 1).cast("bigint")).alias("s"))
+    slot = each.select(F.col("v").bitwiseAND(F.lit(bits - 1).cast("bigint")).alias("s"))
     words = slot.select(F.shiftright("s", 6).alias("w"), F.expr("shiftleft(1L, cast(s % 64 as int))").alias("bit"))
     out = np.zeros(bits // 64, dtype=np.int64)
     got = words.groupBy("w").agg(F.bit_or("bit").alias("bits")).toPandas()
@@ -203,7 +209,7 @@ def similar_pairs(df: DataFrame, id_col: str, text: F.Column, threshold: float =
     texts = _rows(df, id_col, text)
 
     def made(asked: DataFrame, fn, value: str) -> DataFrame:
-        bitmap = _bitmap(asked)
+        bitmap = bitmap_of(asked.select("rep"))
         return texts.select("rep", "text").mapInPandas(lambda it: fn(_asked_for(it, bitmap), shingle), f"rep bigint, {value} binary").dropDuplicates(["rep"])
 
     held = _buckets(texts, shingle, bands, rows)

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from heddle.llm import leakage
 
 R = random.Random(8)
@@ -53,15 +55,46 @@ def test_against_brute_force(spark):
     assert report[90] == 0 and sum(report.values()) == len(got)
 
 
-def test_items_in_parts_and_empty(spark, monkeypatch):
+def test_empty_tables(spark):
     items = [(i, text(40)) for i in range(9)]
     docs = spark.createDataFrame([(i, t) for i, t in items], "doc_id bigint, text string")
     test = spark.createDataFrame(items, "item_id bigint, text string")
-    monkeypatch.setattr(leakage, "MAX_ITEMS", 2)
     assert leakage.leaked(docs, test).count() == 9
     assert leakage.leaked(docs.limit(0), test).count() == 0 and leakage.leaked(docs, test.limit(0)).count() == 0
 
 
+def test_blocks_hold_every_fingerprint_within_the_radius():
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 2**64, 2000, dtype=np.uint64)
+    for bits in range(leakage.RADIUS + 2):
+        b = a.copy()
+        for i in range(len(b)):
+            for k in rng.choice(64, bits, replace=False):
+                b[i] ^= np.uint64(1) << np.uint64(k)
+        agree = np.any([x == y for x, y in zip(leakage._keys(a, 5), leakage._keys(b, 5))], axis=0)
+        assert agree.all() if bits <= leakage.RADIUS else not agree.all()
+    assert not set(leakage._keys(a, 5)[0]) & set(leakage._keys(a, 3)[0])
+
+
+def test_an_instruction_that_all_items_share_makes_no_candidates(spark):
+    ask = text(11)
+    items = [(i, f"{ask} {text(60)}") for i in range(50)]
+    docs = [(i, f"{text(40)} before{i} {ask} after{i} {text(40)}") for i in range(50)] + [(99, items[7][1])]
+    pair = lambda rows, c: spark.createDataFrame(rows, f"{c} bigint, text string")
+    got = leakage.candidates(pair(docs, "doc_id"), pair(items, "item_id"))
+    assert (99, 7) in {tuple(r) for r in got.collect()} and got.count() < 60
+    found = {r.item_id: r for r in leakage.leaked(pair(docs, "doc_id"), pair(items, "item_id")).collect()}
+    assert list(found) == [7] and found[7].share == 1.0 and found[7].weighted == 1.0
+
+
+def test_weights_by_rarity(spark):
+    shared, own = text(30), [text(20) for _ in range(10)]
+    items = spark.createDataFrame([(i, f"{shared} {own[i]}") for i in range(10)], "item_id bigint, text string")
+    docs = spark.createDataFrame([(0, shared), (1, own[3])], "doc_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r for r in leakage.leaked(docs, items).collect()}
+    assert len(got) == 11 and got[(0, 3)].weighted < 0.2 < 0.5 < got[(0, 3)].share and got[(1, 3)].weighted > 0.7 > got[(1, 3)].share
+
+
 def test_short_items_with_words_put_in_are_found(spark):
     def parted(words, *sizes):
         out = []
