@@ -25,7 +25,7 @@ from heddle.llm.words import chunks, mix, runs, words_of
 
 WINDOW, SHINGLE, RADIUS = 5, 3, 1
 RUN, SHARE = 12, 0.6
-TOGETHER = 16  # groups by hash in which the items of one document are verified, so that a document of very many isn't one row
+PAIRS = 2_000  # pairs that are verified together, about
 
 
 def fingerprints(hashes: np.ndarray, doc: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -110,22 +110,23 @@ def _profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame([(ids[first + i], np.unique(three[at3 == i]).view(np.int64), np.unique(long[at12 == i]).view(np.int64)) for i in range(len(part))], columns=["item_id", "three", "long"])
 
 
-def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _verified(pairs: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
     """Of each document and its candidates: the share of the item's shingles it holds, each counted once and by its weight, and whether it holds a run."""
-    for b in batches:
-        docs, held = b["doc_id"].to_numpy(), b["items"].tolist()
-        out = []
-        for first, part in chunks(b["text"]):
-            hashes, doc, *_ = words_of(part)
-            (three, at3), (long, at12) = runs(hashes, doc, SHINGLE), runs(hashes, doc, RUN)
-            for d in range(len(part)):
-                own3, own12 = (np.unique(x[np.searchsorted(at, d) : np.searchsorted(at, d, side="right")].view(np.int64)) for x, at in ((three, at3), (long, at12)))
-                for x in held[first + d]:
-                    both = np.isin(np.asarray(x["three"], dtype=np.int64), own3)
-                    weight = np.asarray(x["weights"], dtype=float)
-                    if len(both):
-                        out.append((docs[first + d], x["item_id"], float(both.mean()), float(weight[both].sum() / weight.sum()), bool(np.isin(np.asarray(x["long"], dtype=np.int64), own12).any())))
-        yield pd.DataFrame(out, columns=["doc_id", "item_id", "share", "weighted", "has_run"])
+    items = {r.id: (r.three, r.weights, r.long) for r in texts[texts["text"].isna()].itertuples(index=False)}
+    asked = pairs.groupby("doc_id")["item_id"].agg(list)
+    held = texts[texts["text"].notna() & texts["id"].isin(asked.index)]
+    ids, out = held["id"].to_numpy(), []
+    for first, part in chunks(held["text"]):
+        hashes, doc, *_ = words_of(part)
+        (three, at3), (long, at12) = runs(hashes, doc, SHINGLE), runs(hashes, doc, RUN)
+        for d in range(len(part)):
+            own3, own12 = (np.unique(x[np.searchsorted(at, d) : np.searchsorted(at, d, side="right")].view(np.int64)) for x, at in ((three, at3), (long, at12)))
+            for i in asked[ids[first + d]]:
+                shingles, weights, passages = items[i]
+                both = np.isin(shingles, own3, assume_unique=True)
+                if len(both):
+                    out.append((ids[first + d], i, float(both.mean()), float(weights[both].sum() / weights.sum()), bool(np.isin(passages, own12).any())))
+    return pd.DataFrame(out, columns=["doc_id", "item_id", "share", "weighted", "has_run"])
 
 
 def candidates(rows: DataFrame, test: DataFrame) -> DataFrame:
@@ -157,10 +158,15 @@ def leaked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
     each = profiles.select("item_id", "long", F.explode("three").alias("h"))
     rarity = profiles.select(F.explode("three").alias("h")).groupBy("h").agg((1 / F.count("*")).alias("w"))
     weighed = each.join(rarity, "h").groupBy("item_id", "long").agg(F.collect_list("h").alias("three"), F.collect_list("w").alias("weights"))
-    held = pairs.join(weighed, "item_id").groupBy("doc_id", F.pmod(F.xxhash64("item_id"), F.lit(TOGETHER)).alias("part")).agg(F.collect_list(F.struct("item_id", "three", "weights", "long")).alias("items"))
+    # pairs are verified together, about PAIRS at a time, all those of a document in one place
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(parts))
+    parts = max(1, pairs.count() // PAIRS)
     asked = bitmap_of(pairs.select(F.xxhash64("doc_id")))
     concerned = rows.withColumn("slot", F.xxhash64("doc_id")).mapInPandas(lambda it: (b.loc[in_bitmap(asked, b["slot"].to_numpy()), ["doc_id", "text"]] for b in it), "doc_id bigint, text string")
-    found = concerned.join(held, "doc_id").select("doc_id", "text", "items").mapInPandas(_verified, "doc_id bigint, item_id bigint, share double, weighted double, has_run boolean")
+    texts = concerned.select(part("doc_id").alias("part"), F.col("doc_id").alias("id"), "text")
+    sets = pairs.select(part("doc_id").alias("part"), "item_id").distinct().join(weighed, "item_id").select("part", F.col("item_id").alias("id"), "three", "weights", "long")
+    both = texts.unionByName(sets, allowMissingColumns=True)
+    found = pairs.select(part("doc_id").alias("home"), "doc_id", "item_id").groupBy("home").cogroup(both.groupBy("part")).applyInPandas(_verified, "doc_id bigint, item_id bigint, share double, weighted double, has_run boolean")
     leaks = found.where(F.col("has_run") | (F.col("share") >= SHARE))
     return leaks.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"), F.max("weighted").alias("weighted"), F.max("has_run").alias("has_run"))
 
