@@ -17,6 +17,7 @@ from heddle.functions.tables import materialize
 TOKENIZERS = "/opt/tokenizers"
 # Fixed value: the pattern that splits text before the merges of the 50k byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+MAX_TARGETS = 1_000  # capacities: each document is packed for each of them, in one pass
 BLOCK = 20_000  # items packed together; the space left by a block's last containers is lost among so many
 
 
@@ -89,15 +90,18 @@ def pack(sizes: list[int], capacity: int) -> list[int]:
 def packed(sizes: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFrame:
     """``target_name, doc_id, piece_no, start_token, n_tokens, container`` for every document and every capacity.
 
-    sizes: ``doc_id, n_tokens``; targets: ``target_name, capacity``, a few. A document within the capacity is one piece. One that exceeds it is
+    sizes: ``doc_id, n_tokens``; targets: ``target_name, capacity``, at most MAX_TARGETS, else an error. A document within the capacity is one piece. One that exceeds it is
     cut into pieces of the whole capacity, each a container of its own, and a last piece that is packed like a document. Items are
     dealt by hash into blocks of about ``block``, each packed on its own in one task, whatever the number of documents; containers
     are numbered from 1 within a target, through all blocks. A document of no tokens is a piece of 0. Equal sizes go by doc_id. Repeated
     rows are packed once each. A null or non-positive capacity is no target. Empty tables give no rows.
     """
-    goal = targets.where("capacity > 0").select("target_name", F.col("capacity").cast("bigint").alias("capacity")).distinct()
+    goal = targets.where("capacity > 0").select("target_name", F.col("capacity").cast("bigint").alias("capacity")).distinct().limit(MAX_TARGETS + 1).collect()
+    if len(goal) > MAX_TARGETS:
+        raise ValueError(f"there are at most {MAX_TARGETS} targets")
     blocks = max(1, math.ceil(sizes.count() / block))
-    items = sizes.join(F.broadcast(goal))
+    each = [F.struct(F.lit(r["target_name"]).alias("target_name"), F.lit(r["capacity"]).cast("bigint").alias("capacity")) for r in goal]
+    items = sizes.select("*", F.inline(F.array(*each) if each else F.array().cast("array<struct<target_name string, capacity bigint>>")))
     whole = F.when(F.col("n_tokens") > F.col("capacity"), F.floor((F.col("n_tokens") - 1) / F.col("capacity"))).otherwise(F.lit(0)).cast("bigint")
     items = items.withColumn("whole", whole).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
 
@@ -114,7 +118,7 @@ def packed(sizes: DataFrame, targets: DataFrame, block: int = BLOCK) -> DataFram
     used = placed.groupBy("target_name", "block").agg((F.max("local") + 1).alias("shared"), F.sum("whole").alias("wholes"))
     before = Window.partitionBy("target_name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     first = used.select("target_name", "block", "shared", F.coalesce(F.sum(F.col("shared") + F.col("wholes")).over(before), F.lit(0)).alias("base"))
-    mine = placed.join(F.broadcast(first), ["target_name", "block"])
+    mine = placed.join(first, ["target_name", "block"])
     last = mine.select("target_name", "doc_id", (F.col("whole") + 1).alias("piece_no"), (F.col("whole") * F.col("capacity")).alias("start_token"), "n_tokens", (F.col("base") + F.col("local") + 1).alias("container"))
     running = Window.partitionBy("target_name", "block").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
     cut = mine.where("whole > 0").withColumn("earlier", F.coalesce(F.sum("whole").over(running), F.lit(0)))
