@@ -9,18 +9,22 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heddle.functions.tables import broadcast_if_small, has_text
+from heddle.functions.tables import broadcast_if_small, has_text, materialize
 from heddle.llm.words import chunks, words_of
 
 # What a system leaves where it cut: an ellipsis and a "more" link, or the beginning of markup, of an entity or of a character.
 MARK = r"(?i)[\s ]*(?:(?:\.\.\.|…|\[\s*(?:\.\.\.|…)\s*\])[\s ]*(?:[\[(]?(?:continue reading|read more|more)(?:\s*→)?[\])]?)?|\[(?:continue reading|read more)(?:\s*→)?\])[\s ]*$"
-BROKEN = r"(?:�+|&#?\w{0,8}|<[^<>]*)$"
+ENTITY = r"&#?\w{0,8}$"
+# what follows the last < of a text if it is a tag that was begun: a name, and attributes if any
+TAG = r"(?s)^(?:|[/!]?[A-Za-z][\w:-]*(?:\s+[\w:-]+\s*=.*|\s+[\w:-]*|\s*/?))$"
 CLOSED = r"[.?!][\"'”’»)\]]*$"
+LINE_END = r"[.?!][\"'”’»)\]]*\s*$"
 LABEL = r"^\p{Lu}[\p{L}]*(?: \p{L}+){0,3}: "
 LINK = r"(?:https?://|www\.)\S+$"
-END = 100
 MAX_SOURCES = 20_000  # (source, field) pairs whose limits may go to all tasks: a few numbers each
-MIN_PILE, DEVIATIONS, KNOWN_LINE, KNOWN_WORD = 5, 6, 5, 3
+MIN_PILE, DEVIATIONS = 5, 6
+# A line or word is known from so many places, or from this share of all texts and words where that is more; of a known line's places so many differ
+KNOWN_LINE, LINE_SHARE, UNLIKE, KNOWN_WORD, WORD_SHARE = 5, 2e-6, 0.3, 3, 2e-8
 
 
 def _count(text: F.Column, chars: str) -> F.Column:
@@ -55,11 +59,17 @@ def _values(df: DataFrame, id_col: str, source: str, fields: tuple[str, ...]) ->
     """One row per field with text: ``item_id, source, field, text`` and ``whole``, the text without what was left where it was cut."""
     each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])).alias("v")
     rows = df.select(F.col(id_col).alias("item_id"), F.col(source).alias("source"), each).select("item_id", "source", "v.field", "v.text")
-    # a mark lies within the last END characters; only they are searched
-    tail = F.right("text", F.lit(END))
-    left = F.length("text") - F.length(tail) + F.length(F.regexp_replace(F.regexp_replace(tail, MARK, ""), BROKEN, ""))
-    rows = rows.where(has_text(F.col("text"))).withColumn("left", left)
-    return rows.withColumn("whole", F.left("text", "left")).withColumn("marked", F.col("left") < F.length("text")).drop("left")
+    # a mark stands at the end, after which only white space is left: the few texts whose end could be one are searched whole
+    end = F.lower(F.right(_rtrim("text"), F.lit(60)))
+    hint = F.exists(F.array(*map(F.lit, ("...", "…", "more", "reading"))), lambda m: end.contains(m))
+    rows = rows.where(has_text(F.col("text"))).withColumn("whole", F.when(hint, F.regexp_replace("text", MARK, "")).otherwise(F.col("text")))
+    rows = rows.withColumn("whole", F.rtrim("whole", F.lit("\ufffd")))
+    begun = F.substring_index("whole", "<", -1)
+    tag = F.col("whole").contains("<") & ~begun.contains(">") & begun.rlike(TAG)
+    rows = rows.withColumn("whole", F.when(tag, F.left("whole", F.length("whole") - F.length(begun) - 1)).otherwise(F.col("whole")))
+    entity = F.regexp_extract(F.right("whole", F.lit(10)), ENTITY, 0)
+    rows = rows.withColumn("whole", F.left("whole", F.length("whole") - F.length(entity)))
+    return rows.withColumn("marked", F.length("whole") < F.length("text"))
 
 
 def hidden_limits(df: DataFrame, id_col: str = "id", source: str = "source", fields: tuple[str, ...] = ("abstract", "content")) -> DataFrame:
@@ -115,24 +125,32 @@ def truncated(df: DataFrame, id_col: str = "id", source: str = "source", fields:
 
     A value that ends where a sentence closes is whole. Otherwise it is cut if a mark of a cut follows, or the beginning of
     markup, an entity or a character; if its length in some form is a hidden limit of its source; or if its end is that
-    of no finished line. Finished are lines that stand at the end of a line in KNOWN_LINE texts or more (notices,
-    headings), links, signatures, and lists, bullets and labels whose last word is a word that the texts hold elsewhere too.
+    of no finished line. Finished are lines that texts hold in KNOWN_LINE places or more that differ otherwise (notices,
+    headings), links, signatures, and lists, bullets and labels whose last word is a word that the texts hold elsewhere too. What counts as known
+    grows with the corpus, and revisions of one text are one place: a group of near-copies cut in the same line doesn't make it known.
     Running prose isn't finished without its full stop. Null and "" are no values. A null source is a source of its own.
     """
     rows = _at_limit(_values(df, id_col, source, fields), hidden_limits(df, id_col, source, fields))
     last = F.regexp_replace(F.substring_index(F.regexp_replace(_rtrim("whole"), r"\r", "\n"), "\n", -1), r"(?U)^\s+", "")
     # what follows the last closed sentence on the last line
     rest = F.regexp_replace(last, r"^.*[.?!][\"'”’»)]*(?U)\s+", "")
-    rows = rows.select("item_id", "source", "field", "at_limit", "marked", F.right(_rtrim("text"), F.lit(END)).alias("full"), last.alias("last"), rest.alias("rest"))
+    rows = rows.select("item_id", "source", "field", "at_limit", "marked", F.right(_rtrim("text"), F.lit(100)).alias("full"), last.alias("last"), rest.alias("rest"))
     rows = rows.select("item_id", "source", "field", "at_limit", "marked", "last", "rest", F.col("full").rlike(CLOSED).alias("closed"), F.regexp_extract("last", r"([\p{L}\p{N}]+)[\"'”’»)\]]*$", 1).alias("last_word"))
     key = F.xxhash64(F.trim(F.regexp_replace(F.regexp_replace(F.lower("last"), r"\p{Nd}+", ""), r"(?U)\s+", " ")))
     rows = rows.withColumn("key", F.when(~F.col("closed"), key))
 
     texts = df.select(F.explode(F.array(*fields)).alias("text")).where(has_text(F.col("text")))
-    line = F.explode(F.filter(F.split("text", "\n"), lambda x: (F.length(x) < 160) & ~x.rlike(r"[.?!][\"'”’»)\]]*\s*$") & x.rlike(r"\S"))).alias("line")
-    norm = F.trim(F.regexp_replace(F.regexp_replace(F.lower("line"), r"\p{Nd}+", ""), r"(?U)\s+", " "))
-    known_lines = texts.select(F.xxhash64("text").alias("t"), line).select(F.xxhash64(norm).alias("key"), "t").distinct().groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= KNOWN_LINE).select("key", F.lit(True).alias("known_line"))
-    words = texts.mapInPandas(_counted, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= KNOWN_WORD)
+    n_texts = texts.count()
+    norm = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"\p{Nd}+", ""), r"(?U)\s+", " "))
+    # a line's place is told by the least hash of the text's lines, the unclosed ones aside: revisions of one text are one place, not many
+    closed = F.transform(F.filter(F.split("text", "\n"), lambda x: x.rlike(LINE_END)), lambda x: F.xxhash64(x))
+    line = F.explode(F.filter(F.split("text", "\n"), lambda x: ~x.rlike(LINE_END) & x.rlike(r"\S"))).alias("line")
+    lines = texts.select(F.xxhash64("text").alias("t"), F.array_min(closed).alias("place"), line).select(F.xxhash64(norm("line")).alias("key"), "t", "place").distinct()
+    places = lines.groupBy("key", "place").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count("place").alias("n_places"))
+    known_lines = places.where((F.col("n_places") >= max(KNOWN_LINE, LINE_SHARE * n_texts)) & (F.col("n_places") >= UNLIKE * F.col("n"))).select("key", F.lit(True).alias("known_line"))
+    counted = materialize(texts.mapInPandas(_counted, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
+    n_words = counted.agg(F.sum("n")).first()[0] or 0
+    words = counted.where(F.col("n") >= max(KNOWN_WORD, WORD_SHARE * n_words))
     ends = rows.where("not closed").select("last_word").distinct().mapInPandas(_hashed, "last_word string, word bigint").distinct()
     known_words = ends.join(words, "word").select("last_word", F.lit(True).alias("known_word"))
 

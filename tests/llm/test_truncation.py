@@ -30,6 +30,28 @@ def test_endings(spark):
     assert got == {(200 + i, "abstract") for i in range(len(bad))}
 
 
+def test_marks_of_any_length(spark):
+    path = "/".join(R.choice(W) for _ in range(60))
+    bad = [f'The market moved. <a href="https://a.example/{path}', f"{prose(2)} <p class='x' id", prose(2) + "\ufffd" * 300, f"{prose(1)} The river moved the…" + " " * 400]
+    whole = ["The budget held (p < 0.05) for the council.", f"If x <y and so on, the river holds. {prose(4)}", f"{prose(1)} <b>The river</b> moved."]
+    rows = corpus() + [(100 + i, "b", t, None) for i, t in enumerate(whole)] + [(200 + i, "b", t, None) for i, t in enumerate(bad)]
+    assert cut(spark, rows) == {(200 + i, "abstract") for i in range(len(bad))}
+
+
+def test_revisions_cut_in_one_line_make_it_no_known_line(spark):
+    base = [prose(1) for _ in range(12)]
+    copies = []
+    for i in range(40):
+        lines = list(base)
+        lines[R.randrange(12)] = f"{prose(1)} {'x' * (1 + 3 * i)}."
+        copies.append((500 + i, "d", None, "\n".join([*lines, "The harbor council of timb"])))
+    long = "Read the letter of the people of the harbor, who moved the market and the garden, in the window of the council, and send the school a report on the number of the signal, or a budget"
+    notices = [(600 + i, "e", None, f"{prose(4 + i % 9)}\n{long}") for i in range(20)]
+    others = [(i, "a", None, f"{prose(4 + i % 9)}\nShare this post {i}") for i in range(30)]
+    got = truncation.truncated(table(spark, others + copies + notices)).where("is_cut").collect()
+    assert {(r.item_id, r.at_limit, r.marked) for r in got} == {(500 + i, False, False) for i in range(40)}
+
+
 def test_hidden_limit_in_escaped_form(spark):
     rows = corpus()
     for i in range(40):
