@@ -1,15 +1,17 @@
 """Several values packed in one field: dialects chosen by minimum description length.
 
 A dialect is a way to write a list of values: a list notation (JSON, Python), a quoting, or a set of delimiters that may part values.
-Every dialect parses a field into values, and a parse costs the bits of its dialect and of its values. The value code is learned from
-the whole column: a value is written as its shape (the order of word classes in it) and its words, each by its frequency in its place
-or, if it isn't frequent, letter by letter. Frequencies come from a distributed count; what reaches the tasks is bounded by ``MIN_SHARE``, whatever the number of rows.
+Every dialect that fits parses a field into values, a parse costs the bits of its dialect and of its values, and the cheapest counts. The value code is learned
+from the whole column: a value is written as its shape (the order of word classes in it) and its words, each by its frequency in its place
+or, if it isn't frequent, letter by letter. Frequencies come from two distributed counts, of the fields whose notation leaves no doubt, then of all
+fields as the first code parses them; what reaches the tasks is bounded by ``MIN_SHARE``, whatever the number of rows.
 """
 
 from __future__ import annotations
 
 import ast
 import functools
+import html
 import json
 import math
 import re
@@ -20,9 +22,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heddle.functions.tables import materialize
+
 MIN_SHARE = 1e-4  # a word or shape at least so frequent in its place is in the code table: at most 1 / MIN_SHARE a place
-MAX_SPAN = 6  # pieces between delimiters that one unquoted value may hold
+MAX_SPAN, ORG_SPAN = 6, 40  # pieces between weak delimiters that one value may hold: of a person, where each delimiter costs more than parting there, and of an organisation
 AMP = "\ue000"  # stands for an escaped & while a field is parsed
+ENTITY = 0xE100  # from here on stand the other escapes of a field while it is parsed: the ; they end in parts nothing
+DIALECT_BITS = {"list": 1.0, "quoted": 2.0, "delimited": 2.0, "delimited whole": 3.0, "mixed": 4.0}
 SPLIT_BITS, LETTER_BITS, FALLBACK_BITS, LITERAL_BITS, REVERSED_BITS = 1.0, 4.5, 14.0, 25.0, 5.0
 
 # Words that tell an organisation, words between a family name's parts, titles and degrees.
@@ -36,6 +42,8 @@ LEAD = re.compile(r"^\s*by\b:?\s+", re.I)
 TAIL = re.compile(r"[\s,;·|/&]*(?:\band\s+)?\bet\.?\s+al\b\.?\s*$", re.I)
 STRONG = re.compile(r"[;|·•\t\n\r]+")
 WEAK = re.compile(r"\s*,\s*and\b(?=\s)|\s*,\s*[&\ue000](?=\s)|\s*,\s*|\s+[&\ue000]\s+|\s+/\s*|\s*/\s+|/|\s+(?:and|AND|with|WITH)\s+", re.U)
+ESCAPE = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,8});")
+BETWEEN = re.compile(r"(?:^|[\s,;|•·/&\ue000]|\b(?:and|with))$", re.I)
 QUOTED = re.compile(r"\"((?:[^\"\\]|\\.|\"\")*)\"", re.S)
 PERSON = re.compile(r"(?:[tp]*F+C[tpGI]+|[^C]*)(?:C?s)*$")
 TOKEN = re.compile(r"[^\W\d_]+(?:[’'\-][^\W\d_]+)*\.?|\d+|[&\ue000]|,", re.U)
@@ -77,7 +85,10 @@ class Code:
 
     def __init__(self, counts: dict[tuple[str, str | None], int]):
         self.counts = counts
-        self.value = functools.lru_cache(100_000)(self._value)
+        self._held = functools.lru_cache(100_000)(self._value)
+
+    def value(self, value: str, whole: bool = False) -> float:
+        return self._held(value, whole)
 
     def _bits(self, place: str, word: str) -> float:
         n, total = self.counts.get((place, word)), self.counts.get((place, None), 0)
@@ -87,10 +98,12 @@ class Code:
         escape = -math.log2((rare + 1) / (total + 2))
         return escape + (FALLBACK_BITS + len(word) if place == "S" else LETTER_BITS * len(word))
 
-    def _value(self, value: str) -> float:
+    def _value(self, value: str, whole: bool) -> float:
         kind, words = shape(value)
-        # a delimiter within a value is paid for, but in organisations, "Family, Given" and before a suffix
-        literal = 0 if "k" in kind else kind.count("j") + kind.count("C") * (not PERSON.match(kind)) + 3 * (not re.search("[GFI]", kind))
+        # where weak delimiters may part, one within a value is paid for, but in organisations, "Family, Given" and before a suffix
+        literal = 0 if whole or "k" in kind else kind.count("j") + kind.count("C") * (not PERSON.match(kind))
+        literal += 0 if "k" in kind else 3 * (not re.search("[GFI]", kind))
+        literal += len(STRONG.findall(value))
         spelled = sum(self._bits(p, w) for p, w in words)
         if kind[-1:] in "FI" and "C" not in kind and 0 < len(words) <= 2 and words[0][0] == "G":  # also read as family name first
             spelled = min(spelled, REVERSED_BITS + sum(self._bits("F" if p == "G" else "G", w) for p, w in words))
@@ -133,13 +146,17 @@ def _pieces(text: str) -> tuple[list[str], list[str]]:
 def _segment(text: str, code: Code, comma: bool) -> tuple[float, list[str]]:
     """The cheapest way to part ``text`` at some of its weak delimiters (commas only if ``comma``): bits, values."""
     pieces, between = _pieces(text)
+    org = [any(t.rstrip(".").lower() in ORG for t in TOKEN.findall(x)) for x in pieces]
     n = len(pieces)
     best: list[tuple[float, int]] = [(0.0, 0)] + [(math.inf, 0)] * n
     for j in range(1, n + 1):
-        value = pieces[j - 1]
-        for i in range(j - 1, max(-1, j - 1 - MAX_SPAN), -1):
+        value, named = pieces[j - 1], False
+        for i in range(j - 1, max(-1, j - 1 - ORG_SPAN), -1):
+            named = named or org[i]
             if i < j - 1:
                 value = pieces[i] + between[i] + value
+            if j - i > MAX_SPAN and not named:
+                continue
             cuts = comma or i == 0 or "," not in between[i - 1]
             v = value.strip()
             cost = (best[i][0] + SPLIT_BITS + (code.value(v) if v else 0.0)) if cuts else math.inf
@@ -153,61 +170,111 @@ def _segment(text: str, code: Code, comma: bool) -> tuple[float, list[str]]:
     return best[n][0], out[::-1]
 
 
+Parse = tuple[float, str, list[str]]  # bits, dialect, values
+
+
 def parse(text: str | None, code: Code) -> tuple[str, list[str]]:
     """(dialect, values) of a field by its cheapest dialect; ("none", []) for a field without values."""
     if text is None or not text.strip():
         return "none", []
+    options: list[Parse] = []
     listed = _listed(text)
     if listed is not None:
-        return "list", [v.strip() for v in listed if v.strip()]
-    body = text.replace(AMP, " ")
-    # an escaped & parts values as & does; one within a name stays as typed
-    body = TAIL.sub("", LEAD.sub("", body.replace("&amp;", AMP)))
-    # quoted values are whole; what stands between them is parsed on its own
-    if '"' in body and QUOTED.search(body):
-        values, at = [], 0
-        for m in QUOTED.finditer(body):
-            before, after = body[at : m.start()], body[m.end() : m.end() + 1]
-            if before.strip() and before.rstrip()[-1].isalnum() or after.isalnum():
-                break  # a nickname or a word in quotes, no quoted value
-            values += parse(before.strip(" \t\r\n,;|·/&"), code)[1] + [_unescape(m.group(1)).strip()]
-            at = m.end()
-        else:
-            values += parse(body[at:].strip(" \t\r\n,;|·/&"), code)[1]
-            values = [v.replace(AMP, "&amp;") for v in values]
-            return "quoted", [v for v in values if v]
-    if STRONG.search(body):
-        values, kinds = [], set()
-        for part in STRONG.split(body):
-            k, v = _plain(part, code)
-            kinds.add(k)
-            values += v
-        return "delimited", values
-    return _plain(body, code)
-
-
-def _plain(text: str, code: Code) -> tuple[str, list[str]]:
+        values = [v.strip() for v in listed if v.strip()]
+        options.append((DIALECT_BITS["list"] + sum(SPLIT_BITS + code.value(v, True) for v in values), "list", values))
+    # an escaped & parts values as & does; one within a name stays as typed, and so do other escapes, which are read as what they stand for
+    typed: list[str] = []
+
+    def held(m: re.Match) -> str:
+        if len(typed) >= 0x700 or len(html.unescape(m.group())) != 1:
+            return m.group()
+        typed.append(m.group())
+        return chr(ENTITY + len(typed) - 1)
+
+    body = re.sub(r"[\ue000\ue100-\ue7ff]", " ", text).replace("&amp;", AMP)
+    body = ESCAPE.sub(held, body) if "&" in body else body
+    read = _Read(code, [html.unescape(t) for t in typed]) if typed else code
+    options += _options(TAIL.sub("", LEAD.sub("", body)), read)
+    _, kind, values = min(options, key=lambda x: x[0])
+    if typed:
+        values = [re.sub("[\ue100-\ue7ff]", lambda m: typed[ord(m.group()) - ENTITY], v) for v in values]
+    return kind, values
+
+
+class _Read:
+    """A code for values that hold escapes: they cost what the characters they stand for cost."""
+
+    def __init__(self, code: Code, means: list[str]):
+        self.code, self.means = code, means
+
+    def value(self, value: str, whole: bool = False) -> float:
+        return self.code.value(re.sub("[\ue100-\ue7ff]", lambda m: self.means[ord(m.group()) - ENTITY], value), whole)
+
+
+def _options(body: str, code: Code | _Read) -> list[Parse]:
+    """The parses of a text by every dialect that fits it."""
+    out = [_plain(body, code)]
+    if '"' in body and (quoted := _quoted(body, code)):
+        out.append(quoted)
+    signs = sorted({c for m in STRONG.findall(body) for c in m})
+    if signs:
+        out.append(_parted(STRONG.split(body), code, "delimited"))
+        whole = [c for p in STRONG.split(body) if (c := _clean(p.strip(STRIPPED)))]
+        out.append((DIALECT_BITS["delimited whole"] + sum(SPLIT_BITS + code.value(v, True) for v in whole), "delimited", whole))
+    if len(signs) > 1:
+        out += [_parted(body.split(c), code, "mixed") for c in signs]
+    return out
+
+
+def _parted(parts: list[str], code: Code | _Read, dialect: str) -> Parse:
+    """Values parted by strong delimiters, each part by its own cheapest of one value, words and commas."""
+    done = [_plain(p, code) for p in parts]
+    return DIALECT_BITS[dialect] + sum(SPLIT_BITS + bits for bits, _, _ in done), "delimited", [v for _, _, values in done for v in values]
+
+
+def _quoted(body: str, code: Code | _Read) -> Parse | None:
+    """Quoted values are whole; what stands between them is parsed on its own. None if a quote encloses a nickname or a word rather than a value."""
+    bits, values, at = DIALECT_BITS["quoted"], [], 0
+    for m in [*QUOTED.finditer(body), None]:
+        before = body[at : m.start()] if m else body[at:]
+        if m and (not BETWEEN.search(before.rstrip()) or body[m.end() : m.end() + 1].isalnum()):
+            return None
+        rest = re.sub(r"^(?:and|with)\b|\b(?:and|with)$", "", before.strip(STRIPPED), flags=re.I).strip(STRIPPED)
+        if rest:
+            cost, _, own = min(_options(rest, code), key=lambda x: x[0])
+            bits, values = bits + SPLIT_BITS + cost, values + own
+        if m:
+            v = _unescape(m.group(1)).strip()
+            bits, values, at = bits + SPLIT_BITS + (code.value(v, True) if v else 0.0), values + [v.replace(AMP, "&amp;")], m.end()
+    return (bits, "quoted", [v for v in values if v]) if at else None
+
+
+STRIPPED = " \t\r\n\xa0,;|•·/&" + AMP
+
+
+def _plain(text: str, code: Code | _Read) -> Parse:
+    """The cheapest of one value, words as delimiters, and commas and words."""
     text = text.strip(" \t\r\n\xa0,;")
     if not text:
-        return "none", []
+        return 0.0, "none", []
     options = [(code.value(text), "single", [text])]
     if WEAK.search(text):
         options += [(2.0 + b, "words", v) for b, v in [_segment(text, code, False)]] + [(2.0 + b, "commas", v) for b, v in [_segment(text, code, True)]]
-    _, kind, values = min(options, key=lambda x: x[0])
-    return kind, [c for v in values if (c := _clean(v))]
+    bits, kind, values = min(options, key=lambda x: x[0])
+    return bits, kind, [c for v in values if (c := _clean(v))]
 
 
 def _clean(value: str) -> str:
     return TAIL.sub("", LEAD.sub("", value)).strip().strip("\xa0,;|·&" + AMP).strip().replace(AMP, "&amp;")
 
 
-def _counts(batches: Iterator[pd.DataFrame], known: dict) -> Iterator[pd.DataFrame]:
-    """Counts of shapes and words over a batch's fields whose notation leaves no doubt: listed, quoted, parted by strong delimiters, or of one value."""
+def _counts(batches: Iterator[pd.DataFrame], known: dict, every: bool) -> Iterator[pd.DataFrame]:
+    """Counts of shapes and words over a batch's fields; unless ``every``, of those whose notation leaves no doubt: listed, quoted, parted by strong delimiters, or of one value."""
     code = Code(known)
     for b in batches:
         total: Counter = Counter()
         for text in b["text"]:
-            if WEAK.search(text) and not (STRONG.search(text) or '"' in text or text.lstrip().startswith("[")):
+            if not every and WEAK.search(text) and not (STRONG.search(text) or '"' in text or text.lstrip().startswith("[")):
                 continue
             for v in parse(text, code)[1]:
                 s, words = shape(v)
@@ -217,17 +284,23 @@ def _counts(batches: Iterator[pd.DataFrame], known: dict) -> Iterator[pd.DataFra
 
 
 def learned_code(df: DataFrame, field: str, min_share: float = MIN_SHARE) -> Code:
-    """The value code of a column, counted over all fields whose notation leaves no doubt. What comes to the driver are the words and
-    shapes with at least ``min_share`` of their place, so at most 1 / min_share for each of the four places."""
+    """The value code of a column, counted twice: over the fields whose notation leaves no doubt, then over all fields as that code parses them. What comes
+    to the driver are the words and shapes with at least ``min_share`` of their place, so at most 1 / min_share for each of the four places."""
     texts = df.select(F.col(field).alias("text")).where(F.length("text") > 0)
-    counts = texts.mapInPandas(lambda it: _counts(it, PRIOR), "place string, word string, n bigint").groupBy("place", "word").agg(F.sum("n").alias("n"))
-    totals = counts.groupBy("place").agg(F.sum("n").alias("total"))
-    table: dict = {}
-    for r in counts.join(F.broadcast(totals), "place").where((F.col("n") >= F.col("total") * min_share) & (F.col("n") > 1)).collect():
-        table[(r["place"], r["word"])] = r["n"]
-        table[(r["place"], None)] = r["total"]
-        table[(r["place"], "known")] = table.get((r["place"], "known"), 0) + r["n"]
-    return Code(table if ("S", None) in table else PRIOR)
+    known = PRIOR
+    for every in (False, True):
+        now = known
+        counts = texts.mapInPandas(lambda it, now=now, every=every: _counts(it, now, every), "place string, word string, n bigint").groupBy("place", "word").agg(F.sum("n").alias("n"))
+        counts = materialize(counts)
+        totals = {r["place"]: r["total"] for r in counts.groupBy("place").agg(F.sum("n").alias("total")).collect()}
+        least = F.create_map(*[x for p, n in totals.items() for x in (F.lit(p), F.lit(n * min_share))]) if totals else None
+        table: dict = {}
+        for r in counts.where((F.col("n") >= least[F.col("place")]) & (F.col("n") > 1)).collect() if totals else []:
+            table[(r["place"], r["word"])] = r["n"]
+            table[(r["place"], None)] = totals[r["place"]]
+            table[(r["place"], "known")] = table.get((r["place"], "known"), 0) + r["n"]
+        known = table if ("S", None) in table else known
+    return Code(known)
 
 
 def unpacked(df: DataFrame, id_col: str, field: str, min_share: float = MIN_SHARE, code: Code | None = None) -> DataFrame:

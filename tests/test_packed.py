@@ -26,6 +26,12 @@ CASES = [
     ("Orsted Council on Transit and Towns and Ann Walbury", ["Orsted Council on Transit and Towns", "Ann Walbury"]),
     ("Ann Walbury, Jr. and John Ferring", ["Ann Walbury, Jr.", "John Ferring"]),
     ("Walbury, Ann", ["Walbury, Ann"]),
+    ('"Ann Walbury" and "John Ferring"', ["Ann Walbury", "John Ferring"]),
+    ('Ann "Annie" Walbury, John Ferring', ['Ann "Annie" Walbury', "John Ferring"]),
+    ("Sean O&#39;Neil; Ann Walbury", ["Sean O&#39;Neil", "Ann Walbury"]),
+    ("Ann Walbury and Sean O&#39;Neil", ["Ann Walbury", "Sean O&#39;Neil"]),
+    ("Ministry of Trade; Energy and Water; Ann Walbury", ["Ministry of Trade", "Energy and Water", "Ann Walbury"]),
+    ("Walbury, Ann\r\nFerring, John\r\nDelstone, Maria", ["Walbury, Ann", "Ferring, John", "Delstone, Maria"]),
     (" Ann Walbury ", ["Ann Walbury"]),
     ("", []),
     ("   ", []),
@@ -38,9 +44,17 @@ def test_parse(text, values):
     assert parse(text, CODE)[1] == values
 
 
+def test_an_organisation_of_many_delimiters_is_one_value():
+    known = {**PRIOR, **{(p, None): 1000 for p in "GF"}, **{("G", w): 100 for w in ("ann", "john")}, **{("F", w): 100 for w in ("walbury", "ferring")}}
+    name = "Center for Law, Land, Labor, Water, Wood, Work, Wind and Waves"
+    assert parse(f"{name}, Ann Walbury and John Ferring", Code(known))[1] == [name, "Ann Walbury", "John Ferring"]
+
+
 def test_code_is_learned_and_bounded(spark):
     rows = [(i, "; ".join(NAMES[(i + j) % 7] for j in range(3))) for i in range(300)]
     code = packed.learned_code(spark.createDataFrame(rows, "id bigint, authors string"), "authors")
+    mixed = packed.learned_code(spark.createDataFrame([*rows, *[(900 + i, "Zora Quillfeather, Ann Walbury and John Ferring") for i in range(50)]], "id bigint, authors string"), "authors")
+    assert mixed.counts[("G", "zora")] == 50  # fields parted by commas are counted too
     assert code.counts[("S", "GF")] == 900 and code.counts[("G", "ann")] > 100
     assert code.value("Ann Walbury") < code.value("Walbury, Ann") < code.value("Walbury and Ann")
 
