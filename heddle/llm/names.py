@@ -122,7 +122,9 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def radius_join(keys: DataFrame) -> DataFrame:
     """``a, b``, a < b: the pairs of the distinct strings in ``key`` at distance 1, each once. Exact; work grows with the strings, not their pairs."""
-    placed = keys.select("key").distinct().mapInPandas(_cells, "key string, cell string").select("key", F.xxhash64("cell").alias("cell"))
+    # strings are few bytes but many cells: they are dealt to all tasks before that
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = keys.select("key").distinct().repartition(tasks).mapInPandas(_cells, "key string, cell string").select("key", F.xxhash64("cell").alias("cell"))
     left, right = placed.withColumnRenamed("key", "a"), placed.withColumnRenamed("key", "b")
     return left.join(right, "cell").where((F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= RADIUS)).select("a", "b").distinct().where(_near("a", "b"))
 
@@ -135,7 +137,7 @@ def entities(df: DataFrame, id_col: str, field: str) -> DataFrame:
     usual ones (Joan, John). A name with initials or a usual short form for its given name is linked to the entity of
     its family that it fits, if just one does, by the same metric for a family name mistyped. Short forms (Jen, Jenny) of a family without
     the given name itself are linked if they stand for just one name, and are what initials fit then. Null and "" fields hold no names; a name that
-    fits several entities, or none, stands alone. Names that come often cost as much as names that come once.
+    fits several entities, or none, stands alone, with other spellings of the same initials. Names that come often cost as much as names that come once.
     """
     code = learned_code(df, field)
     counts = code.counts
@@ -190,8 +192,13 @@ def entities(df: DataFrame, id_col: str, field: str) -> DataFrame:
     fits = (F.substring("initials", 1, 1) == F.substring("given", 1, 1)) & ((F.length("initials") < 2) | (F.col("width") < 2) | (F.substring("initials", 1, 2) == F.substring("letters", 1, 2)))
     meant = persons.withColumnRenamed("family", "meant").join(moved.withColumnRenamed("from", "entity"), "entity", "left").withColumn("entity", F.coalesce("to", "entity"))
     placed = target.join(meant, "meant").where(fits).groupBy("name").agg(F.min("entity").alias("one"), F.count_distinct("entity").alias("n"))
-    own = F.xxhash64(F.concat_ws(" ", F.lit("initial"), F.substring("initials", 1, 1), "family"))
-    loose = initials.join(placed, "name", "left").select("name", F.coalesce(F.when(F.col("n") == 1, F.col("one")), own).alias("entity"))
+    # initials that fit nobody are one among themselves if each is the beginning of the longest, else each stands for itself: J. A. and J. B. are two, and J. neither
+    unplaced = initials.join(placed.where("n = 1").select("name", "one"), "name", "left").withColumn("first", F.substring("initials", 1, 1))
+    longest = unplaced.where("one is null").groupBy("family", "first").agg(F.max_by("initials", F.struct(F.length("initials"), F.col("initials"))).alias("longest"))
+    agree = unplaced.where("one is null").join(longest, ["family", "first"]).groupBy("family", "first", "longest").agg(F.bool_and(F.col("longest").startswith(F.col("initials"))).alias("agree"))
+    meant_by = F.when(F.col("agree"), F.col("longest")).otherwise(F.col("initials"))
+    own = F.xxhash64(F.concat_ws(" ", F.lit("initial"), meant_by, "family"))
+    loose = unplaced.join(agree, ["family", "first"], "left").select("name", F.coalesce("one", own).alias("entity"))
     named = keyed.join(moved.withColumnRenamed("from", "entity"), "entity", "left").select("name", F.coalesce("to", "entity").alias("entity"))
     return named.union(loose)
 

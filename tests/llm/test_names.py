@@ -67,5 +67,14 @@ def test_short_forms_without_the_formal_name(spark):
     assert len({e[n] for n in (*people[-3:], "C. Pimvadiba")}) == 4 and len(e) == len(people) + len(alone)
 
 
+def test_initials_that_contradict_are_not_one(spark):
+    people = ["Helga Pimvadiba", "Edward Lumnisige"]
+    alone = ["K. A. Zorbalefe", "K. B. Zorbalefe", "K. Zorbalefe", "Zorbalefe KA", "M. Q. Trovimabi", "M. Trovimabi", "Trovimabi, M.Q."]
+    df = spark.createDataFrame([*enumerate(people * 6), *enumerate(alone, 100)], "id bigint, authors string")
+    e = {r.name: r.entity for r in names.entities(df, "id", "authors").collect()}
+    assert len({e[n] for n in alone[:3]}) == 3 and e["K. A. Zorbalefe"] == e["Zorbalefe KA"]
+    assert len({e[n] for n in alone[4:]}) == 1 and e["M. Trovimabi"] != e["K. Zorbalefe"]
+
+
 def test_empty(spark):
     assert names.variants(spark.createDataFrame([], "id bigint, authors string"), "id", "authors").count() == 0
