@@ -36,6 +36,15 @@ def test_limits_of_count_and_share(spark):
     assert lines.excessive_occurrences(table(spark, rows)).count() == 0
 
 
+def test_a_line_as_frequent_outside_is_no_excess(spark):
+    """10 of 100 items in one source, 9 of 100 in each of twenty others: the share alone would take it, the likelihood ratio doesn't."""
+    rows = [(s * 1000 + i, f"s{s}", f"text {i} {'x' * s}\n" + ("Weather permitting" if i < (10 if s == 0 else 9) else "") + ("\nOurs alone" if s == 0 and i % 9 == 0 else "")) for s in range(21) for i in range(100)]
+    rows = [(i, s, c.replace("text", "text " + "abcdefghij"[i % 10] * (1 + i // 10 % 10))) for i, s, c in rows]
+    t = table(spark, rows)
+    assert {r.n_items for r in lines.excessive_lines(t).collect()} == {12}
+    assert {r.n_items for r in lines.excessive_lines(t, q=1e300).collect()} == {10, 12}
+
+
 def test_nulls_empty_long_and_repeated(spark):
     rows = [*corpus(), (None, None, None), (900, "a", ""), (901, None, "word\n" * 20000), (902, "a", None), *corpus()[:2]]
     t = table(spark, rows)
