@@ -18,7 +18,6 @@ ENTITY = r"&#?\w{0,8}$"
 # what follows the last < of a text if it is a tag that was begun: a name, and attributes if any
 TAG = r"(?s)^(?:|[/!]?[A-Za-z][\w:-]*(?:\s+[\w:-]+\s*=.*|\s+[\w:-]*|\s*/?))$"
 CLOSED = r"[.?!][\"'”’»)\]]*$"
-LINE_END = r"[.?!][\"'”’»)\]]*\s*$"
 LABEL = r"^\p{Lu}[\p{L}]*(?: \p{L}+){0,3}: "
 LINK = r"(?:https?://|www\.)\S+$"
 MAX_SOURCES = 20_000  # (source, field) pairs whose limits may go to all tasks: a few numbers each
@@ -72,6 +71,31 @@ def _values(df: DataFrame, id_col: str, source: str, fields: tuple[str, ...]) ->
     return rows.withColumn("marked", F.length("whole") < F.length("text"))
 
 
+def _ends(line) -> F.Column:
+    """Whether a sentence closes at the end of a line, before quotes, brackets and white space."""
+    return F.right(F.rtrim(F.rtrim(line, F.lit(" \t\r\n\x0b\f")), F.lit("\"'”’»)]")), F.lit(1)).isin(".", "?", "!")
+
+
+def _read(df: DataFrame, id_col: str, source: str, fields: tuple[str, ...]) -> DataFrame:
+    """One row per field with text, written once, as the rest needs no more of it: ``item_id, source, field, marked, closed``, its lengths in all forms in order,
+    and of values that don't close ``last``, the last line, ``rest``, what follows the last closed sentence on it, ``last_word`` and the line's ``key``."""
+    rows = _values(df, id_col, source, fields)
+    rows = rows.select("item_id", "source", "field", "marked", F.right(_rtrim("text"), F.lit(100)).rlike(CLOSED).alias("closed"), F.array(*[x.cast("int") for x in lengths(F.col("whole")).values()]).alias("lengths"), "whole")
+    last = F.regexp_replace(F.substring_index(F.replace(_rtrim("whole"), F.lit("\r"), F.lit("\n")), "\n", -1), r"(?U)^\s+", "")
+    rows = rows.select("item_id", "source", "field", "marked", "closed", "lengths", F.when(~F.col("closed") | F.col("marked"), last).alias("last"))
+    rest = F.regexp_replace("last", r"^.*[.?!][\"'”’»)]*(?U)\s+", "")
+    word = F.regexp_extract("last", r"([\p{L}\p{N}]+)[\"'”’»)\]]*$", 1)
+    return materialize(rows.select("*", rest.alias("rest"), word.alias("last_word"), F.when(~F.col("closed"), F.xxhash64(_norm("last"))).alias("key")))
+
+
+def _norm(line) -> F.Column:
+    """A line without digits, in lower case, white space collapsed, ends trimmed."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), r"\p{Nd}+", ""), r"(?U)\s+", " "))
+
+
+FORMS = ["characters", "utf8_bytes", "utf16_units", "entity_escaped", "entity_escaped_bytes", "json_escaped", "json_escaped_bytes", "crlf_characters", "crlf_bytes"]  # those of lengths(), in order
+
+
 def hidden_limits(df: DataFrame, id_col: str = "id", source: str = "source", fields: tuple[str, ...] = ("abstract", "content")) -> DataFrame:
     """``source, field, encoding, limit, n_at, n_above, n_values``: lengths, in some form, at which a source's values pile up.
 
@@ -79,24 +103,28 @@ def hidden_limits(df: DataFrame, id_col: str = "id", source: str = "source", fie
     and DEVIATIONS standard deviations (of a Poisson count) above it. A limit needn't hold for all values of a source, so longer ones may
     exist. Counts are partial sums before the shuffle; a group is (source, field, form, length), so a large source is spread by its lengths.
     """
-    rows = _values(df, id_col, source, fields)
-    form = F.explode(F.array(*[F.struct(F.lit(k).alias("encoding"), v.alias("length")) for k, v in lengths(F.col("whole")).items()])).alias("f")
-    counts = rows.select("source", "field", form).groupBy("source", "field", "f.encoding", "f.length").agg(F.count("*").alias("n_at"))
-    group = Window.partitionBy("source", "field", "encoding")
+    return _limits(_read(df, id_col, source, fields))
+
+
+def _limits(rows: DataFrame) -> DataFrame:
+    form = F.posexplode("lengths").alias("form", "length")
+    counts = rows.select("source", "field", form).groupBy("source", "field", "form", "length").agg(F.count("*").alias("n_at"))
+    group = Window.partitionBy("source", "field", "form")
     up = group.orderBy("length")
     near = F.coalesce(F.sum("n_at").over(up.rangeBetween(-10, -1)), F.lit(0)) + F.coalesce(F.sum("n_at").over(up.rangeBetween(1, 10)), F.lit(0))
     seen = counts.withColumn("n_above", F.coalesce(F.sum("n_at").over(up.rangeBetween(1, Window.unboundedFollowing)), F.lit(0))).withColumn("near", near / 20).withColumn("n_values", F.sum("n_at").over(group))
     pile = F.col("n_at") > F.col("near") + DEVIATIONS * F.sqrt("near") + MIN_PILE
-    return seen.where(pile).select("source", "field", "encoding", F.col("length").cast("bigint").alias("limit"), "n_at", "n_above", "n_values")
+    encoding = F.element_at(F.array(*map(F.lit, FORMS)), F.col("form") + 1)
+    return seen.where(pile).select("source", "field", encoding.alias("encoding"), F.col("length").cast("bigint").alias("limit"), "n_at", "n_above", "n_values")
 
 
 def _at_limit(rows: DataFrame, limits: DataFrame) -> DataFrame:
     """``rows`` with ``at_limit``. Per (source, field) the limits are one array: a few numbers per form."""
     per = limits.groupBy(F.col("source").alias("_source"), F.col("field").alias("_field")).agg(F.collect_set(F.concat_ws(":", "encoding", "limit")).alias("_limits"))
     per = broadcast_if_small(per, MAX_SOURCES)
-    mine = F.array(*[F.concat(F.lit(f"{k}:"), v.cast("string")) for k, v in lengths(F.col("whole")).items()])
+    mine = F.array(*[F.concat(F.lit(f"{k}:"), F.get("lengths", F.lit(i)).cast("string")) for i, k in enumerate(FORMS)])
     joined = rows.join(per, rows["source"].eqNullSafe(per["_source"]) & (rows["field"] == per["_field"]), "left")
-    return joined.withColumn("at_limit", F.coalesce(F.arrays_overlap("_limits", mine), F.lit(False))).drop("_source", "_field", "_limits")
+    return joined.withColumn("at_limit", F.when(F.col("_limits").isNull(), False).otherwise(F.arrays_overlap("_limits", mine))).drop("_source", "_field", "_limits")
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,22 +158,15 @@ def truncated(df: DataFrame, id_col: str = "id", source: str = "source", fields:
     grows with the corpus, and revisions of one text are one place: a group of near-copies cut in the same line doesn't make it known.
     Running prose isn't finished without its full stop. Null and "" are no values. A null source is a source of its own.
     """
-    rows = _at_limit(_values(df, id_col, source, fields), hidden_limits(df, id_col, source, fields))
-    last = F.regexp_replace(F.substring_index(F.regexp_replace(_rtrim("whole"), r"\r", "\n"), "\n", -1), r"(?U)^\s+", "")
-    # what follows the last closed sentence on the last line
-    rest = F.regexp_replace(last, r"^.*[.?!][\"'”’»)]*(?U)\s+", "")
-    rows = rows.select("item_id", "source", "field", "at_limit", "marked", F.right(_rtrim("text"), F.lit(100)).alias("full"), last.alias("last"), rest.alias("rest"))
-    rows = rows.select("item_id", "source", "field", "at_limit", "marked", "last", "rest", F.col("full").rlike(CLOSED).alias("closed"), F.regexp_extract("last", r"([\p{L}\p{N}]+)[\"'”’»)\]]*$", 1).alias("last_word"))
-    key = F.xxhash64(F.trim(F.regexp_replace(F.regexp_replace(F.lower("last"), r"\p{Nd}+", ""), r"(?U)\s+", " ")))
-    rows = rows.withColumn("key", F.when(~F.col("closed"), key))
-
+    rows = _read(df, id_col, source, fields)
+    rows = _at_limit(rows, _limits(rows))
     texts = df.select(F.explode(F.array(*fields)).alias("text")).where(has_text(F.col("text")))
     n_texts = texts.count()
-    norm = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"\p{Nd}+", ""), r"(?U)\s+", " "))
-    # a line's place is told by the least hash of the text's lines, the unclosed ones aside: revisions of one text are one place, not many
-    closed = F.transform(F.filter(F.split("text", "\n"), lambda x: x.rlike(LINE_END)), lambda x: F.xxhash64(x))
-    line = F.explode(F.filter(F.split("text", "\n"), lambda x: ~x.rlike(LINE_END) & x.rlike(r"\S"))).alias("line")
-    lines = texts.select(F.xxhash64("text").alias("t"), F.array_min(closed).alias("place"), line).select(F.xxhash64(norm("line")).alias("key"), "t", "place").distinct()
+    # a line's place is told by the least hash of the text's closed lines: revisions of one text are one place, not many
+    parts = texts.select(F.xxhash64("text").alias("t"), F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("x"), _ends(x).alias("closed"))).alias("parts"))
+    place = F.array_min(F.transform(F.filter("parts", lambda p: p["closed"]), lambda p: F.xxhash64(p["x"])))
+    line = F.explode(F.filter("parts", lambda p: ~p["closed"] & p["x"].rlike(r"\S"))).alias("p")
+    lines = parts.select("t", place.alias("place"), line).select(F.xxhash64(_norm("p.x")).alias("key"), "t", "place").distinct()
     places = lines.groupBy("key", "place").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.count("place").alias("n_places"))
     known_lines = places.where((F.col("n_places") >= max(KNOWN_LINE, LINE_SHARE * n_texts)) & (F.col("n_places") >= UNLIKE * F.col("n"))).select("key", F.lit(True).alias("known_line"))
     counted = materialize(texts.mapInPandas(_counted, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")))

@@ -62,6 +62,7 @@ def test_hidden_limit_in_escaped_form(spark):
         if sum(5 if c == "&" else 1 for c in t[:n]) == 400:
             rows.append((300 + i, "c", None, t[:n]))
     limits = truncation.hidden_limits(table(spark, rows)).where("source = 'c'").collect()
+    assert truncation.FORMS == list(truncation.lengths(truncation.F.lit("")))
     assert [(r.encoding, r.limit) for r in limits if r.encoding == "entity_escaped"] == [("entity_escaped", 400)]
     assert not [r for r in limits if r.encoding == "characters"]
 
