@@ -3,8 +3,8 @@
 A dialect is a way to write a list of values: a list notation (JSON, Python), a quoting, or a set of delimiters that may part values.
 Every dialect that fits parses a field into values, a parse costs the bits of its dialect and of its values, and the cheapest counts. The value code is learned
 from the whole column: a value is written as its shape (the order of word classes in it) and its words, each by its frequency in its place
-or, if it isn't frequent, letter by letter. Frequencies come from two distributed counts, of the fields whose notation leaves no doubt, then of all
-fields as the first code parses them; what reaches the tasks is bounded by ``MIN_SHARE``, whatever the number of rows.
+or, if it isn't frequent, letter by letter. Frequencies come from two distributed counts, of the fields whose notation leaves no doubt, then of the
+others as the first code parses them; what reaches the tasks is bounded by ``MIN_SHARE``, whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from heddle.functions.tables import materialize
 
 MIN_SHARE = 1e-4  # a word or shape at least so frequent in its place is in the code table: at most 1 / MIN_SHARE a place
-MAX_SPAN, ORG_SPAN = 6, 40  # pieces between weak delimiters that one value may hold: of a person, where each delimiter costs more than parting there, and of an organisation
+ORG_SPAN = 40  # pieces between weak delimiters that an organisation's name may hold
 AMP = "\ue000"  # stands for an escaped & while a field is parsed
 ENTITY = 0xE100  # from here on stand the other escapes of a field while it is parsed: the ; they end in parts nothing
 DIALECT_BITS = {"list": 1.0, "quoted": 2.0, "delimited": 2.0, "delimited whole": 3.0, "mixed": 4.0}
@@ -36,6 +36,7 @@ ORG = {"association", "assn", "board", "bureau", "center", "centre", "club", "co
 PARTICLE = {"al", "bin", "da", "de", "del", "della", "den", "der", "di", "dos", "du", "el", "ibn", "la", "le", "ten", "ter", "van", "von"}
 SUFFIX = {"jr", "sr", "ii", "iii", "iv", "phd", "md", "esq", "dphil", "msc"}
 TITLE = {"prof", "dr", "professor", "mr", "mrs", "ms", "sir", "dame", "rev"}
+NO_NAME = PARTICLE | SUFFIX | TITLE
 JOINING = {"for", "of", "on", "and", "the", "in", "to", "&", AMP, "und", "with"}
 
 LEAD = re.compile(r"^\s*by\b:?\s+", re.I)
@@ -45,6 +46,7 @@ WEAK = re.compile(r"\s*,\s*and\b(?=\s)|\s*,\s*[&\ue000](?=\s)|\s*,\s*|\s+[&\ue00
 ESCAPE = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,8});")
 BETWEEN = re.compile(r"(?:^|[\s,;|•·/&\ue000]|\b(?:and|with))$", re.I)
 QUOTED = re.compile(r"\"((?:[^\"\\]|\\.|\"\")*)\"", re.S)
+ODD = re.compile(r"[^\w\s.,’'&\-]|\d")
 PERSON = re.compile(r"(?:[tp]*F+C[tpGI]+|[^C]*)(?:C?s)*$")
 TOKEN = re.compile(r"[^\W\d_]+(?:[’'\-][^\W\d_]+)*\.?|\d+|[&\ue000]|,", re.U)
 
@@ -88,7 +90,12 @@ class Code:
         self._held = functools.lru_cache(100_000)(self._value)
 
     def value(self, value: str, whole: bool = False) -> float:
-        return self._held(value, whole)
+        """Bits of a value; ``whole`` where a weak delimiter parts nothing, so that one within the value isn't paid for."""
+        return self._held(value, whole and bool(WEAK.search(value)))[0]
+
+    def frame(self, value: str) -> float:
+        """Bits of a value without those of its words."""
+        return self._held(value, False)[1]
 
     def _bits(self, place: str, word: str) -> float:
         n, total = self.counts.get((place, word)), self.counts.get((place, None), 0)
@@ -98,7 +105,7 @@ class Code:
         escape = -math.log2((rare + 1) / (total + 2))
         return escape + (FALLBACK_BITS + len(word) if place == "S" else LETTER_BITS * len(word))
 
-    def _value(self, value: str, whole: bool) -> float:
+    def _value(self, value: str, whole: bool) -> tuple[float, float]:
         kind, words = shape(value)
         # where weak delimiters may part, one within a value is paid for, but in organisations, "Family, Given" and before a suffix
         literal = 0 if whole or "k" in kind else kind.count("j") + kind.count("C") * (not PERSON.match(kind))
@@ -107,7 +114,8 @@ class Code:
         spelled = sum(self._bits(p, w) for p, w in words)
         if kind[-1:] in "FI" and "C" not in kind and 0 < len(words) <= 2 and words[0][0] == "G":  # also read as family name first
             spelled = min(spelled, REVERSED_BITS + sum(self._bits("F" if p == "G" else "G", w) for p, w in words))
-        return literal * LITERAL_BITS + self._bits("S", kind) + spelled + LETTER_BITS * 2 * len(re.findall(r"[^\w\s.,’'&\-]|\d", value))
+        frame = literal * LITERAL_BITS + self._bits("S", kind) + LETTER_BITS * 2 * len(ODD.findall(value))
+        return frame + spelled, frame
 
 
 #: before anything is counted: plain names are cheap, everything else by its length
@@ -143,23 +151,38 @@ def _pieces(text: str) -> tuple[list[str], list[str]]:
     return [*pieces, text[at:]], between
 
 
-def _segment(text: str, code: Code, comma: bool) -> tuple[float, list[str]]:
-    """The cheapest way to part ``text`` at some of its weak delimiters (commas only if ``comma``): bits, values."""
-    pieces, between = _pieces(text)
-    org = [any(t.rstrip(".").lower() in ORG for t in TOKEN.findall(x)) for x in pieces]
+class _Pieces:
+    """A text cut at its weak delimiters, and what its pieces hold."""
+
+    def __init__(self, text: str):
+        self.pieces, self.between = _pieces(text)
+        words = [[t.rstrip(".").lower() for t in TOKEN.findall(x)] for x in self.pieces]
+        self.org = [not ORG.isdisjoint(x) for x in words]
+        self.suffix = [SUFFIX.issuperset(x) for x in words]  # no word but suffixes
+        self.named = [sum(len(w) > 1 and w not in NO_NAME for w in x) > 1 for x in words]  # a given and a family name
+        self.commas = ["," in x for x in self.between]
+
+
+def _segment(text: _Pieces, code: Code | _Read, comma: bool) -> tuple[float, list[str]]:
+    """The cheapest way to part a text at some of its weak delimiters (commas only if ``comma``): bits, values."""
+    pieces, between = text.pieces, text.between
     n = len(pieces)
+    alone = [code.value(v) if (v := x.strip()) else 0.0 for x in pieces]
     best: list[tuple[float, int]] = [(0.0, 0)] + [(math.inf, 0)] * n
     for j in range(1, n + 1):
-        value, named = pieces[j - 1], False
+        value, org, end = pieces[j - 1], False, j - 1
         for i in range(j - 1, max(-1, j - 1 - ORG_SPAN), -1):
-            named = named or org[i]
+            org = org or text.org[i]
             if i < j - 1:
                 value = pieces[i] + between[i] + value
-            if j - i > MAX_SPAN and not named:
+            if not (comma or i == 0 or not text.commas[i - 1]):
                 continue
-            cuts = comma or i == 0 or "," not in between[i - 1]
-            v = value.strip()
-            cost = (best[i][0] + SPLIT_BITS + (code.value(v) if v else 0.0)) if cuts else math.inf
+            # a person's name holds one delimiter, and more before suffixes; another one costs more than parting there, if what parting adds is no more
+            while end > i and text.suffix[end]:
+                end -= 1
+            if not org and (end - i > 1 or (end - i == 1 and (not text.commas[i] or text.named[end]) and (comma or not text.commas[i]) and SPLIT_BITS + code.frame(pieces[i].strip()) + code.frame(pieces[end].strip()) <= LITERAL_BITS)):
+                continue
+            cost = best[i][0] + SPLIT_BITS + (alone[i] if i == j - 1 else code.value(value.strip()))
             if cost < best[j][0]:
                 best[j] = (cost, i)
     out, j = [], n
@@ -208,21 +231,34 @@ class _Read:
         self.code, self.means = code, means
 
     def value(self, value: str, whole: bool = False) -> float:
-        return self.code.value(re.sub("[\ue100-\ue7ff]", lambda m: self.means[ord(m.group()) - ENTITY], value), whole)
+        return self.code.value(self._meant(value), whole)
+
+    def frame(self, value: str) -> float:
+        return self.code.frame(self._meant(value))
+
+    def _meant(self, value: str) -> str:
+        return re.sub("[\ue100-\ue7ff]", lambda m: self.means[ord(m.group()) - ENTITY], value)
 
 
 def _options(body: str, code: Code | _Read) -> list[Parse]:
-    """The parses of a text by every dialect that fits it."""
-    out = [_plain(body, code)]
+    """The parses of a text by every dialect that fits it and can be the cheapest."""
+    signs = STRONG.findall(body)
+    if not signs:
+        out = [_plain(body, code)]
+    else:
+        parts = STRONG.split(body)
+        out = [_parted(parts, code, "delimited")]
+        if any(WEAK.search(p) for p in parts):
+            whole = [c for p in parts if (c := _clean(p.strip(STRIPPED)))]
+            out.append((DIALECT_BITS["delimited whole"] + sum(SPLIT_BITS + code.value(v, True) for v in whole), "delimited", whole))
+        # a sign within a value costs more bits than all that parting there adds to the words, or such parses are tried
+        added = sum(SPLIT_BITS + code.frame(v) for v in out[0][2])
+        kinds = sorted({c for m in signs for c in m})
+        if added > (LITERAL_BITS if len(kinds) > 1 else LITERAL_BITS * len(signs)):
+            out.append(_plain(body, code))
+            out += [_parted(body.split(c), code, "mixed") for c in kinds] if len(kinds) > 1 else []
     if '"' in body and (quoted := _quoted(body, code)):
         out.append(quoted)
-    signs = sorted({c for m in STRONG.findall(body) for c in m})
-    if signs:
-        out.append(_parted(STRONG.split(body), code, "delimited"))
-        whole = [c for p in STRONG.split(body) if (c := _clean(p.strip(STRIPPED)))]
-        out.append((DIALECT_BITS["delimited whole"] + sum(SPLIT_BITS + code.value(v, True) for v in whole), "delimited", whole))
-    if len(signs) > 1:
-        out += [_parted(body.split(c), code, "mixed") for c in signs]
     return out
 
 
@@ -257,9 +293,17 @@ def _plain(text: str, code: Code | _Read) -> Parse:
     text = text.strip(" \t\r\n\xa0,;")
     if not text:
         return 0.0, "none", []
-    options = [(code.value(text), "single", [text])]
-    if WEAK.search(text):
-        options += [(2.0 + b, "words", v) for b, v in [_segment(text, code, False)]] + [(2.0 + b, "commas", v) for b, v in [_segment(text, code, True)]]
+    if not WEAK.search(text):
+        return code.value(text), "single", [c] if (c := _clean(text)) else []
+    cut = _Pieces(text)
+    options: list[Parse] = []
+    if True in cut.commas:
+        options.append((2.0, "commas", []))
+    if False in cut.commas:
+        options.append((2.0, "words", []))
+    options = [(more + bits, kind, values) for more, kind, _ in options for bits, values in [_segment(cut, code, kind == "commas")]]
+    if any(cut.org) or sum(not x for x in cut.suffix) < 3:  # else the delimiters within cost more than any parting
+        options.insert(0, (code.value(text), "single", [text]))
     bits, kind, values = min(options, key=lambda x: x[0])
     return bits, kind, [c for v in values if (c := _clean(v))]
 
@@ -268,13 +312,13 @@ def _clean(value: str) -> str:
     return TAIL.sub("", LEAD.sub("", value)).strip().strip("\xa0,;|·&" + AMP).strip().replace(AMP, "&amp;")
 
 
-def _counts(batches: Iterator[pd.DataFrame], known: dict, every: bool) -> Iterator[pd.DataFrame]:
-    """Counts of shapes and words over a batch's fields; unless ``every``, of those whose notation leaves no doubt: listed, quoted, parted by strong delimiters, or of one value."""
+def _counts(batches: Iterator[pd.DataFrame], known: dict, doubtful: bool) -> Iterator[pd.DataFrame]:
+    """Counts of shapes and words over a batch's fields: those whose notation leaves no doubt (listed, quoted, parted by strong delimiters, or of one value), or the others."""
     code = Code(known)
     for b in batches:
         total: Counter = Counter()
         for text in b["text"]:
-            if not every and WEAK.search(text) and not (STRONG.search(text) or '"' in text or text.lstrip().startswith("[")):
+            if doubtful != bool(WEAK.search(text) and not (STRONG.search(text) or '"' in text or text.lstrip().startswith("["))):
                 continue
             for v in parse(text, code)[1]:
                 s, words = shape(v)
@@ -283,24 +327,33 @@ def _counts(batches: Iterator[pd.DataFrame], known: dict, every: bool) -> Iterat
         yield pd.DataFrame([(p, w, n) for (p, w), n in total.items()], columns=["place", "word", "n"])
 
 
-def learned_code(df: DataFrame, field: str, min_share: float = MIN_SHARE) -> Code:
-    """The value code of a column, counted twice: over the fields whose notation leaves no doubt, then over all fields as that code parses them. What comes
-    to the driver are the words and shapes with at least ``min_share`` of their place, so at most 1 / min_share for each of the four places."""
-    texts = df.select(F.col(field).alias("text")).where(F.length("text") > 0)
-    known = PRIOR
-    for every in (False, True):
-        now = known
-        counts = texts.mapInPandas(lambda it, now=now, every=every: _counts(it, now, every), "place string, word string, n bigint").groupBy("place", "word").agg(F.sum("n").alias("n"))
-        counts = materialize(counts)
-        totals = {r["place"]: r["total"] for r in counts.groupBy("place").agg(F.sum("n").alias("total")).collect()}
-        least = F.create_map(*[x for p, n in totals.items() for x in (F.lit(p), F.lit(n * min_share))]) if totals else None
-        table: dict = {}
-        for r in counts.where((F.col("n") >= least[F.col("place")]) & (F.col("n") > 1)).collect() if totals else []:
+def _table(counts: DataFrame, min_share: float) -> dict:
+    """What a code knows: the words and shapes with at least ``min_share`` of their place, so at most 1 / min_share for each of the four places."""
+    totals = {r["place"]: r["total"] for r in counts.groupBy("place").agg(F.sum("n").alias("total")).collect()}
+    table: dict = {}
+    if totals:
+        least = F.create_map(*[x for p, n in totals.items() for x in (F.lit(p), F.lit(n * min_share))])
+        for r in counts.where((F.col("n") >= least[F.col("place")]) & (F.col("n") > 1)).collect():
             table[(r["place"], r["word"])] = r["n"]
             table[(r["place"], None)] = totals[r["place"]]
             table[(r["place"], "known")] = table.get((r["place"], "known"), 0) + r["n"]
-        known = table if ("S", None) in table else known
-    return Code(known)
+    return table
+
+
+def learned_code(df: DataFrame, field: str, min_share: float = MIN_SHARE) -> Code:
+    """The value code of a column, counted over all its fields: those whose notation leaves no doubt, then the others as the code of the first parses them. What
+    comes to the driver are the words and shapes with at least ``min_share`` of their place, so at most 1 / min_share for each of the four places."""
+    texts = df.select(F.col(field).alias("text")).where(F.length("text") > 0)
+
+    def counted(known: dict, doubtful: bool) -> DataFrame:
+        return texts.mapInPandas(lambda it: _counts(it, known, doubtful), "place string, word string, n bigint").groupBy("place", "word").agg(F.sum("n").alias("n"))
+
+    clear = materialize(counted(PRIOR, False))
+    first = _table(clear, min_share)
+    first = first if ("S", None) in first else PRIOR
+    both = materialize(clear.union(counted(first, True)).groupBy("place", "word").agg(F.sum("n").alias("n")))
+    last = _table(both, min_share)
+    return Code(last if ("S", None) in last else PRIOR)
 
 
 def unpacked(df: DataFrame, id_col: str, field: str, min_share: float = MIN_SHARE, code: Code | None = None) -> DataFrame:
