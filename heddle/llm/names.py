@@ -167,26 +167,30 @@ def entities(df: DataFrame, id_col: str, field: str) -> DataFrame:
 
     # a usual short form belongs to the one entity of its family with a given name it stands for
     persons = keyed.where("kind = 'full' and formal is null").groupBy("family", "given", "entity").agg(F.max(F.length("initials")).alias("width"), F.max("initials").alias("letters"))
-    short = keyed.where("formal is not null").select(F.col("entity").alias("from"), "family", F.explode("formal").alias("given")).distinct()
+    persons = materialize(persons)
+    short = materialize(keyed.where("formal is not null").select(F.col("entity").alias("from"), "family", F.explode("formal").alias("given")).distinct())
     fitting = short.join(persons.select("family", "given", "entity"), ["family", "given"]).groupBy("from").agg(F.min("entity").alias("to"), F.count_distinct("entity").alias("n"))
+    fitting = materialize(fitting)
     moved = materialize(fitting.where("n = 1").select("from", "to"))
 
     # without one, short forms that stand for just one given name are one entity of their family, and other short forms belong to it as to a given name
     bare = short.join(fitting, "from", "left_anti")
+    bare = materialize(bare)
     sole = bare.join(bare.groupBy("from").agg(F.count_distinct("given").alias("n")).where("n = 1"), "from", "left_semi")
+    sole = materialize(sole)
     held = sole.groupBy("family", "given").agg(F.min("from").alias("to"))
     one = bare.join(sole, "from", "left_anti").join(held, ["family", "given"]).groupBy("from").agg(F.min("to").alias("to"), F.count_distinct("family", "given").alias("n")).where("n = 1").select("from", "to")
     joined = components(sole.join(held, ["family", "given"]).select("from", "to").union(one).toDF("a", "b")).toDF("from", "to")
 
     # who is meant by initials: full names, short forms too unless they belong to another's given name
     persons = persons.union(keyed.where("formal is not null").join(moved.withColumnRenamed("from", "entity"), "entity", "left_anti").groupBy("family", "given", "entity").agg(F.max(F.length("initials")).alias("width"), F.max("initials").alias("letters")))
-    moved = moved.union(joined)
+    persons, moved = materialize(persons), materialize(moved.union(joined))
 
     # initials: entities of the family whose given name begins so, and whose further initials, where both have some, agree
     initials = known.where("kind = 'initial'").select("name", "family", "initials")
     fams = persons.select("family").distinct().withColumnRenamed("family", "key")
     strange = initials.select(F.col("family").alias("key")).distinct().join(fams, "key", "left_anti")
-    mistyped = radius_join(strange.union(fams))
+    mistyped = materialize(radius_join(strange.union(fams)))
     also = mistyped.select(F.col("a").alias("family"), F.col("b").alias("meant")).union(mistyped.select(F.col("b").alias("family"), F.col("a").alias("meant"))).join(strange.withColumnRenamed("key", "family"), "family", "left_semi")
     target = initials.withColumn("meant", F.col("family")).join(fams.withColumnRenamed("key", "meant"), "meant", "left_semi").select("name", "initials", "meant").union(initials.join(also, "family").select("name", "initials", "meant"))
     fits = (F.substring("initials", 1, 1) == F.substring("given", 1, 1)) & ((F.length("initials") < 2) | (F.col("width") < 2) | (F.substring("initials", 1, 2) == F.substring("letters", 1, 2)))
@@ -194,6 +198,7 @@ def entities(df: DataFrame, id_col: str, field: str) -> DataFrame:
     placed = target.join(meant, "meant").where(fits).groupBy("name").agg(F.min("entity").alias("one"), F.count_distinct("entity").alias("n"))
     # initials that fit nobody are one among themselves if each is the beginning of the longest, else each stands for itself: J. A. and J. B. are two, and J. neither
     unplaced = initials.join(placed.where("n = 1").select("name", "one"), "name", "left").withColumn("first", F.substring("initials", 1, 1))
+    unplaced = materialize(unplaced)
     longest = unplaced.where("one is null").groupBy("family", "first").agg(F.max_by("initials", F.struct(F.length("initials"), F.col("initials"))).alias("longest"))
     agree = unplaced.where("one is null").join(longest, ["family", "first"]).groupBy("family", "first", "longest").agg(F.bool_and(F.col("longest").startswith(F.col("initials"))).alias("agree"))
     meant_by = F.when(F.col("agree"), F.col("longest")).otherwise(F.col("initials"))
