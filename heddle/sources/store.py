@@ -1,4 +1,4 @@
-"""Tables as snapshots: a new version is written whole beside the old one, then the pointer is moved; readers never see half of it."""
+"""Tables as snapshots: a new version is written whole beside the old one, then a pointer of the next number to it; readers take the highest and never see half of it."""
 
 from __future__ import annotations
 
@@ -31,11 +31,17 @@ class Store:
         self._path = lambda p: jvm.org.apache.hadoop.fs.Path(f"{self.root}/{p}")
         self._fs = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def _numbers(self, table: str) -> list[int]:
+        """The numbers of a table's pointers: each is written once and never moved, so a crash at any step leaves the last one in force."""
+        folder = self._path(table)
+        names = [f.getPath().getName() for f in self._fs.listStatus(folder)] if self._fs.exists(folder) else []
+        return [int(n.rpartition("-")[2]) for n in names if n.startswith("_current-")]
+
     def _pointer(self, table: str) -> str | None:
-        p = self._path(f"{table}/_current")
-        if not self._fs.exists(p):
+        numbers = self._numbers(table)
+        if not numbers:
             return None
-        stream = self._fs.open(p)
+        stream = self._fs.open(self._path(f"{table}/_current-{max(numbers)}"))
         try:
             return json.loads(stream.readLine())["version"]
         finally:
@@ -59,13 +65,13 @@ class Store:
         out = df.select(*[(F.lit(None).cast(f.dataType) if c is None else c).alias(f.name) for f, c in zip(schema, cols)])
         writer = out.write.partitionBy(*partition_by) if partition_by else out.write
         writer.parquet(f"{self.root}/{table}/{version}")
-        staged, final = self._path(f"{table}/_next-{version}"), self._path(f"{table}/_current")
+        number = max(self._numbers(table), default=0) + 1
+        staged, final = self._path(f"{table}/_next-{version}"), self._path(f"{table}/_current-{number}")
         stream = self._fs.create(staged, True)
         stream.writeBytes(json.dumps({"version": version}))
         stream.close()
-        if self._fs.exists(final):
-            self._fs.delete(final, False)
-        self._fs.rename(staged, final)
+        if self._fs.exists(final) or not self._fs.rename(staged, final):
+            raise RuntimeError(f"another writer committed {table}")
         return version
 
     def missing(self) -> list[str]:

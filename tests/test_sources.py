@@ -109,3 +109,25 @@ def test_store(spark, tmp_path):
     with pytest.raises(Exception, match="boom"):
         s.write("item_topics", s.read("item_topics").withColumn("topic_key", F.raise_error(F.lit("boom")).cast("string")))
     assert s.read("item_topics").count() == 2 and s.create_missing() == [t for t in TABLES if t != "item_topics"] and s.missing() == []
+
+
+def test_a_commit_that_stops_between_its_steps_leaves_the_table_as_it_was(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/root")
+    row = lambda i: spark.createDataFrame([(i, i, "a", "x")], TABLES["item_topics"])
+    s.write("item_topics", row(1))
+    whole = s._fs
+
+    class Stopping:
+        def __getattr__(self, name):
+            if name == "rename":
+                raise RuntimeError("stopped")
+            return getattr(whole, name)
+
+    s._fs = Stopping()
+    with pytest.raises(RuntimeError, match="stopped"):
+        s.write("item_topics", row(2))
+    s._fs = whole
+    assert [r.id for r in s.read("item_topics").collect()] == [1]
+    s.write("item_topics", row(3))
+    s.write("item_topics", row(4))
+    assert [r.id for r in s.read("item_topics").collect()] == [4] and sorted(s._numbers("item_topics")) == [1, 2, 3]
