@@ -19,12 +19,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from heddle.functions.tables import has_text, materialize
+from heddle.functions.tables import broadcast_if_small, has_text, materialize
 from heddle.llm.similar import bitmap_of, in_bitmap
 from heddle.llm.words import chunks, mix, runs, words_of
 
 WINDOW, SHINGLE, RADIUS = 5, 3, 1
 RUN, SHARE = 12, 0.6
+MAX_KEYS = 200_000  # blocks of items that may go to all tasks, 24 bytes each; beyond that documents and items are shuffled by block
 PAIRS = 2_000  # pairs that are verified together, about
 
 
@@ -135,8 +136,8 @@ def candidates(rows: DataFrame, test: DataFrame) -> DataFrame:
     common = prints.groupBy("size", "print").agg(F.count("*").alias("n_items"))
     order = Window.partitionBy("item_id").orderBy(F.col("n_items").desc(), "print").rowsBetween(Window.unboundedPreceding, 0)
     kept = prints.join(common, ["size", "print"]).withColumn("up_to", F.sum("n").over(order)).where(F.col("up_to") > F.col("spare"))
-    keys = materialize(kept.select("item_id", "print", "size").mapInPandas(_blocked, "key bigint, own bigint, item_id bigint"))
-    bitmap, sizes = bitmap_of(keys.select("key")), [r[0] for r in kept.select("size").distinct().collect()]
+    keys = broadcast_if_small(kept.select("item_id", "print", "size").mapInPandas(_blocked, "key bigint, own bigint, item_id bigint"), MAX_KEYS)
+    bitmap, sizes = bitmap_of(keys.select("key"), 32), [r[0] for r in kept.select("size").distinct().collect()]
     met = rows.mapInPandas(lambda it: _met(it, bitmap, sizes), "key bigint, print bigint, doc_id bigint")
     near = F.bit_count(F.col("print").bitwiseXOR(F.col("own"))) <= RADIUS
     return met.join(keys, "key").where(near).select("doc_id", "item_id").distinct()
@@ -164,7 +165,7 @@ def leaked(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
     asked = bitmap_of(pairs.select(F.xxhash64("doc_id")))
     concerned = rows.withColumn("slot", F.xxhash64("doc_id")).mapInPandas(lambda it: (b.loc[in_bitmap(asked, b["slot"].to_numpy()), ["doc_id", "text"]] for b in it), "doc_id bigint, text string")
     texts = concerned.select(part("doc_id").alias("part"), F.col("doc_id").alias("id"), "text")
-    sets = pairs.select(part("doc_id").alias("part"), "item_id").distinct().join(weighed, "item_id").select("part", F.col("item_id").alias("id"), "three", "weights", "long")
+    sets = pairs.select(part("doc_id").alias("part"), "item_id").distinct().join(weighed.hint("merge"), "item_id").select("part", F.col("item_id").alias("id"), "three", "weights", "long")
     both = texts.unionByName(sets, allowMissingColumns=True)
     found = pairs.select(part("doc_id").alias("home"), "doc_id", "item_id").groupBy("home").cogroup(both.groupBy("part")).applyInPandas(_verified, "doc_id bigint, item_id bigint, share double, weighted double, has_run boolean")
     leaks = found.where(F.col("has_run") | (F.col("share") >= SHARE))

@@ -168,11 +168,11 @@ def _buckets(texts: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame
     return materialize(counted.where("n > 1 and new = 1").select("rep", "bucket", "n"))
 
 
-def bitmap_of(values: DataFrame) -> np.ndarray:
-    """A bitmap in which the slot of every value is set (one column, hashes of 64 bits): the low bits of a value are its slot. It has eight bits or
+def bitmap_of(values: DataFrame, room: int = 8) -> np.ndarray:
+    """A bitmap in which the slot of every value is set (one column, hashes of 64 bits): the low bits of a value are its slot. It has ``room`` bits or
     more for each value, up to 2^SLOTS bits, so its size has a bound; where more are asked for it just keeps fewer rows back."""
     each = values.toDF("v").distinct()
-    bits = 1 << min(SLOTS, max(10, (8 * each.count()).bit_length()))
+    bits = 1 << min(SLOTS, max(10, (room * each.count()).bit_length()))
     slot = each.select(F.col("v").bitwiseAND(F.lit(bits - 1).cast("bigint")).alias("s"))
     words = slot.select(F.shiftright("s", 6).alias("w"), F.expr("shiftleft(1L, cast(s % 64 as int))").alias("bit"))
     out = np.zeros(bits // 64, dtype=np.int64)
