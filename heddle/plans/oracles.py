@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from heddle.plans import readers
+
 WS = r"[\s\p{Z}]+"
 NORM_TITLE = rf"trim(regexp_replace(regexp_replace(strip_accents(lower(title)), '[^\p{{L}}\p{{N}}_\s\p{{Z}}]', '', 'g'), '{WS}', ' ', 'g'))"
 LAST_NAME = rf"lower(list_extract(string_split(trim(regexp_replace(split_part(coalesce(authors, ''), ',', 1), '{WS}', ' ', 'g')), ' '), -1))"
@@ -59,7 +61,7 @@ def oracle_sql() -> dict[str, str]:
     for name, columns in TIMES.items():
         text = ", ".join(f"strftime({c if c not in ('crawled_at', 'classified_at') else c + " AT TIME ZONE 'UTC'"}, '{'%Y-%m-%d %H:%M:%S' if c.endswith('at') else '%Y-%m-%d'}') AS {c}" for c in columns)
         out[name] = f"SELECT * REPLACE ({text}) FROM ({out[name]})"
-    return out
+    return out | readers.SQL
 
 
 def _sql() -> dict[str, str]:

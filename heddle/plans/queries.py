@@ -14,6 +14,7 @@ from heddle.functions.tables import materialize, scratch, table
 from heddle.operators import classify, dedup, feed, packed, scoring, summaries, upsert
 from heddle.operators.feed import FeedFilter
 from heddle.operators.taxonomy import Taxonomy
+from heddle.plans import readers
 from heddle.plans.oracles import oracle_sql
 from heddle.sources import definitions, feeds, listings, works
 from heddle.streaming import streams
@@ -503,7 +504,8 @@ def _as_text(query):
 
 
 def queries() -> dict:
-    return {k: _as_text(v) for k, v in globals().items() if callable(v) and getattr(v, "__module__", "") == __name__ and k[0] != "_" and k != "queries"}
+    own = {k: v for k, v in globals().items() if callable(v) and getattr(v, "__module__", "") == __name__ and k[0] != "_" and k != "queries"}
+    return {k: _as_text(v) for k, v in (own | {k: getattr(readers, k) for k in readers.SQL}).items()}
 
 
 __all__ = ["oracle_sql", "queries"]

@@ -109,6 +109,11 @@ def feed_items(documents: DataFrame, cutoff: Column | None = None) -> DataFrame:
     return rows if cutoff is None else rows.where(F.col("published_date").isNull() | (F.col("published_date") >= F.to_date(cutoff)))
 
 
+def newest_first(documents: DataFrame, cutoff: Column | None = None) -> DataFrame:
+    """The items of many feeds as one list: the newest first, undated ones last, equal dates by address. Sorted by range over all tasks."""
+    return feed_items(documents, cutoff).orderBy(F.col("published_date").desc_nulls_last(), "url")
+
+
 def preprint_feed_items(documents: DataFrame, cutoff: Column | None = None) -> DataFrame:
     """Items from a preprint server's Atom: one per address over all categories, the id after /abs/ as source_id. The cutoff's day is dropped, undated ones stay."""
     p = parsed(documents).withColumn("published_date", published_date(F.col("form"), F.col("published")))
@@ -118,12 +123,14 @@ def preprint_feed_items(documents: DataFrame, cutoff: Column | None = None) -> D
     return first.select("source", "url", "title", T.collapse(F.col("summary")).alias("abstract"), "authors", "published_date", F.regexp_extract("ref", r"/abs/(.+)$", 1).alias("source_id"), "subjects")
 
 
-def paper_feed_items(documents: DataFrame, today: Column, per_source: int = 50) -> DataFrame:
-    """Items from a working-paper RSS whose titles are "Title -- by A, B" and which has no dates: dated ``today``, at most ``per_source`` of a source, by address."""
+def paper_feed_items(documents: DataFrame, today: Column, per_source: int | None = None) -> DataFrame:
+    """Items from a working-paper RSS whose titles are "Title -- by A, B" and which has no dates: dated ``today``, all, or the first ``per_source`` of a source by address."""
     from pyspark.sql import Window
 
     p = parsed(documents)
     by = F.split("title", r"\s+--\s+by\s+", 2)
     url = F.regexp_replace("url", r"#.*$", "")
     rows = p.select("source", url.alias("url"), F.get(by, F.lit(0)).alias("title"), F.coalesce(F.get(by, F.lit(1)), F.col("authors")).alias("authors"), T.strip_html(F.col("summary")).alias("abstract"), F.regexp_extract(url, r"/papers/(w\d+)", 1).alias("source_id"), today.alias("published_date"))
+    if per_source is None:
+        return rows
     return rows.withColumn("r", F.row_number().over(Window.partitionBy("source").orderBy("url"))).where(F.col("r") <= per_source).drop("r")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heddle.functions import dates
+from heddle.functions import text as T
 from heddle.sources.markup import article_text, parse
 
 NEEDED = ("listing_url", "article_selector", "title_selector", "url_selector")
@@ -69,3 +70,11 @@ def page_texts(pages: DataFrame, most: int | None = None) -> DataFrame:
             yield pd.DataFrame({"url": b["url"], "text": [article_text(h or "", u or "", most) for h, u in zip(b["html"], b["url"])]})
 
     return pages.select("url", "html").mapInPandas(run, "url string, text string")
+
+
+def page_date(html: Column) -> Column:
+    """The date on a paper's own page: of its first <time>, by attribute or text, else what follows "Issue Date", a month and a year being the month's first."""
+    attribute = F.regexp_extract(html, r"(?i)<time\b[^>]*\bdatetime\s*=\s*[\"']([^\"']+)", 1)
+    inner = T.strip_html(F.regexp_extract(html, r"(?is)<time\b[^>]*>(.*?)</time>", 1))
+    issue = F.regexp_extract(T.strip_html(html), r"(?i)\bIssue Date:?\s+([A-Za-z]+ (?:\d{1,2}, )?\d{4})", 1)
+    return F.coalesce(dates.flexible_date(attribute, 1), dates.month_year(inner), dates.month_year(issue))

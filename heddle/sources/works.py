@@ -62,8 +62,11 @@ def preprint_works(replies: DataFrame, cutoff: Column | None = None) -> DataFram
     return first.select("url", "v.*").withColumn("published_date", F.to_date("at")).drop("at")
 
 
-def backfilled(items: DataFrame, works: DataFrame, most: int = 10) -> DataFrame:
-    """``items`` whose missing abstracts are taken from the works of the same address, for the first ``most`` of each source by id, as the interface is asked for no more."""
-    lacking = items.where(T.needs_abstract(F.col("abstract"), 1)).select("id", "url", F.row_number().over(Window.partitionBy("source").orderBy("id")).alias("r")).where(F.col("r") <= most)
+def backfilled(items: DataFrame, works: DataFrame, most: int | None = None) -> DataFrame:
+    """``items`` whose missing abstracts are taken from the works of the same address: of all of them, or of the first ``most`` of each source by id,
+    for an interface that may be asked for no more. Of several works of an address the greatest abstract counts."""
+    lacking = items.where(T.needs_abstract(F.col("abstract"), 1)).select("id", "url", "source")
+    if most is not None:
+        lacking = lacking.withColumn("r", F.row_number().over(Window.partitionBy("source").orderBy("id"))).where(F.col("r") <= most)
     found = lacking.join(works.groupBy("url").agg(F.max("abstract").alias("_abstract")).where(F.length("_abstract") > 0), "url").select("id", "_abstract")
     return items.join(found, "id", "left").withColumn("abstract", F.coalesce("_abstract", "abstract")).drop("_abstract")
