@@ -71,6 +71,11 @@ def host_label(url: Column, domain: str) -> Column:
     return F.regexp_extract(url, r"^https?://([^./]+)\." + domain.replace(".", r"\."), 1)
 
 
+def deep_link(base: str, slug: Column, item_id: Column) -> Column:
+    """The address of an item within a feed's page."""
+    return F.concat(F.lit(base.rstrip("/") + "/digests/"), slug, F.lit("#item-"), item_id.cast("string"))
+
+
 def contains_keyword(lower_text: Column, keyword: str) -> Column:
     """Whether a keyword stands anywhere in a text already in lower case, within words too."""
     return lower_text.contains(keyword.lower())

@@ -141,6 +141,11 @@ def relevance_counts(verdicts: DataFrame) -> DataFrame:
     return verdicts.groupBy("subtopic").agg(F.count_if(F.coalesce("relevant", F.lit(False))).alias("n_relevant"), F.count("*").alias("n_verdicts"))
 
 
+def relevant_in(verdicts: DataFrame, subtopic: str) -> DataFrame:
+    """The verdicts that call an item relevant to a subtopic."""
+    return verdicts.where(F.col("relevant") & (F.col("subtopic") == subtopic))
+
+
 def category_audit(hits: DataFrame, verdicts: DataFrame, taxonomy: Taxonomy) -> DataFrame:
     """``item_id, subtopic, topic``: for each subtopic, items judged not relevant claimed by topics nobody filled.
 
@@ -169,4 +174,4 @@ def category_audit(hits: DataFrame, verdicts: DataFrame, taxonomy: Taxonomy) ->
     return first.groupBy("subtopic").applyInPandas(walk, "item_id bigint, subtopic string, topic string")
 
 
-__all__ = ["Classifier", "auto_tagged", "category_audit", "classify", "item_type", "keyword_classifier", "keyword_scores", "parse_reply", "populated", "relevance_counts", "split_by_prefilter"]
+__all__ = ["Classifier", "auto_tagged", "category_audit", "classify", "item_type", "keyword_classifier", "keyword_scores", "parse_reply", "populated", "relevance_counts", "relevant_in", "split_by_prefilter"]

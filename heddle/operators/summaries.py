@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heddle.functions import text as T
 from heddle.operators.feed import cache_status, item_set_hash
+from heddle.operators.upsert import keep, upsert
 
 Writer = Callable[[str, str, str], str]  # (title, content, source) -> abstract
 LEAST = 20
@@ -32,6 +33,11 @@ def candidates(items: DataFrame) -> DataFrame:
     return items.where(T.needs_abstract(F.col("abstract")) & (F.length("content") > 0) & F.col("api_refused_at").isNull())
 
 
+def refused(items: DataFrame) -> DataFrame:
+    """The items that a writer refused and that have a content, so that another may be asked."""
+    return items.where(F.col("api_refused_at").isNotNull() & (F.length("content") > 0))
+
+
 def written(items: DataFrame, writer: Writer, most: int | None = None) -> DataFrame:
     """``item_id, reply, refused`` of a writer, for every item. Too short a reply or an error is no reply; one that declines is refused.
 
@@ -76,17 +82,32 @@ def retried(items: DataFrame, replies: DataFrame) -> DataFrame:
     return out.withColumns({"abstract": F.coalesce("reply", "abstract"), "api_refused_at": F.when(~got, F.col("api_refused_at")), "api_refusal_type": F.when(~got, F.col("api_refusal_type"))}).drop("reply")
 
 
-def topic_prompts(items: DataFrame, topics: DataFrame, most: int = 300) -> DataFrame:
+def topic_prompts(items: DataFrame, topics: DataFrame, most: int = 300, week: Column | None = None, link: Column | None = None) -> DataFrame:
     """``topic_key, item_hash, n_items, prompt``: each topic's items by id, a line each with title, source and the first ``most`` characters of the abstract.
 
-    topics: ``item_id, topic_key``. Repeated rows count once. A topic's lines are gathered, as one prompt needs them all.
+    topics: ``item_id, topic_key``. Repeated rows count once. week: the end of an item's week, by which topics are parted too, as ``week_ending``; items
+    without one are left out. link: an item's address, as a line under it. The lines of a topic, or of its week, are gathered, as one prompt needs
+    them all: give a week where topics grow with the corpus.
     """
+    keys = ["topic_key"] if week is None else ["topic_key", "week_ending"]
     line = F.concat(F.lit("- "), F.coalesce("title", F.lit("Untitled")), F.lit(" ("), F.coalesce(F.when(F.length("source_name") > 0, F.col("source_name")), F.col("source"), F.lit("")), F.lit("): "), F.substring(F.coalesce("abstract", F.lit("")), 1, most))
-    lines = items.select(F.col("id").alias("item_id"), line.alias("line"))
+    line = line if link is None else F.concat(line, F.lit("\n  "), link)
+    lines = items.select(F.col("id").alias("item_id"), line.alias("line"), *([] if week is None else [week.alias("week_ending")]))
+    lines = lines if week is None else lines.where("week_ending is not null")
     joined = topics.select("item_id", "topic_key").distinct().join(lines, "item_id")
     listed = F.sort_array(F.collect_list(F.struct("item_id", "line")))
-    prompts = joined.groupBy("topic_key").agg(F.array_join(F.transform(listed, lambda x: x["line"]), "\n").alias("prompt"))
-    return item_set_hash(joined, ["topic_key"], "item_id").join(prompts, "topic_key")
+    prompts = joined.groupBy(*keys).agg(F.array_join(F.transform(listed, lambda x: x["line"]), "\n").alias("prompt"))
+    return item_set_hash(joined, keys, "item_id").join(prompts, keys)
+
+
+def stored(cache: DataFrame, summaries: DataFrame, feed_id: int, now) -> DataFrame:
+    """The stored summaries with new ones (``topic_key, week_ending, item_hash, summary, status``) laid over them by feed, topic and week.
+
+    Hits change nothing, failed ones aren't stored, whatever stands in for them. Ids are kept; a new row's is made of its key.
+    """
+    new = summaries.where(~F.col("status").isin("hit", "failed")).select(F.lit(feed_id).cast("bigint").alias("feed_id"), "topic_key", "week_ending", "summary", "item_hash", F.lit(now).alias("created_at"))
+    new = new.withColumn("id", F.xxhash64("feed_id", "topic_key", "week_ending"))
+    return upsert(cache, new, ["feed_id", "topic_key", "week_ending"], {"id": keep})
 
 
 def topic_summaries(prompts: DataFrame, cached: DataFrame, names: dict[str, str], writer: Writer) -> DataFrame:

@@ -42,6 +42,10 @@ NOW = "TIMESTAMPTZ '2026-03-01 00:00:00+00'"
 FIRST = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY crawled_at, id) AS r FROM items WHERE {0}) WHERE r = 1"
 
 
+TOPIC_WEEKS = """SELECT t.topic_key, t.item_id, i.*, published_date + ((7 - dayofweek(published_date)) % 7)::INT AS week_ending FROM (SELECT DISTINCT item_id, topic_key FROM item_topics) t JOIN items i ON i.id = t.item_id WHERE published_date IS NOT NULL"""
+SET_HASH = "substr(sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id)), 1, 16)"
+
+
 def _queue(days: int) -> str:
     return f"""SELECT i.id, coalesce(i.published_date, (i.crawled_at AT TIME ZONE 'UTC')::DATE) AS day FROM items i
  WHERE coalesce(i.published_date, (i.crawled_at AT TIME ZONE 'UTC')::DATE) BETWEEN DATE '2026-03-01' - {days} AND DATE '2026-03-02'
@@ -52,14 +56,14 @@ def _queue(days: int) -> str:
 TIMES = {
     **{q: ["published_date"] for q in ("feed_items", "feed_any_topic", "feed_min_confidence", "feed_topic_uncorrelated", "feed_connected_only", "rss_items", "registry_items")},
     **{q: ["day"] for q in ("unclassified_queue", "unclassified_topn", "rss_dates", "flexible_dates", "future_dates")},
-    "last_boundary": ["last_at"], "item_upsert": ["published_date", "crawled_at"], "classification_upsert": ["classified_at"], "weekly_snapshots": ["week_ending"], "listing_items": ["first_day"],
+    "last_boundary": ["last_at"], "item_upsert": ["published_date", "crawled_at"], "classification_upsert": ["classified_at"], "weekly_snapshots": ["week_ending"], "topic_week_prompts": ["week_ending"], "topic_summary_upsert": ["week_ending", "created_at"], "source_crawls": ["last_crawled_at"], "listing_items": ["first_day"],
 }
 
 
 def oracle_sql() -> dict[str, str]:
     out = _sql()
     for name, columns in TIMES.items():
-        text = ", ".join(f"strftime({c if c not in ('crawled_at', 'classified_at') else c + " AT TIME ZONE 'UTC'"}, '{'%Y-%m-%d %H:%M:%S' if c.endswith('at') else '%Y-%m-%d'}') AS {c}" for c in columns)
+        text = ", ".join(f"strftime({c if c not in ('crawled_at', 'classified_at', 'created_at', 'last_crawled_at') else c + " AT TIME ZONE 'UTC'"}, '{'%Y-%m-%d %H:%M:%S' if c.endswith('at') else '%Y-%m-%d'}') AS {c}" for c in columns)
         out[name] = f"SELECT * REPLACE ({text}) FROM ({out[name]})"
     return out | readers.SQL
 
@@ -136,6 +140,17 @@ def _sql() -> dict[str, str]:
  SELECT topic_key, substr(sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id)), 1, 16) AS item_hash, count(*) AS n_items,
   sum(length(coalesce(title, 'Untitled')) + length(coalesce(nullif(source_name, ''), source, '')) + least(length(coalesce(abstract, '')), 300) + 7)::BIGINT + count(*) - 1 AS n_chars
  FROM t JOIN items i ON i.id = t.item_id GROUP BY topic_key""",
+        "topic_week_prompts": f"""SELECT topic_key, week_ending, {SET_HASH} AS item_hash, count(*) AS n_items,
+  sum(length(coalesce(title, 'Untitled')) + length(coalesce(nullif(source_name, ''), source, '')) + least(length(coalesce(abstract, '')), 300) + 7 + 3 + length('https://reader.example/digests/daily#item-' || item_id))::BIGINT + count(*) - 1 AS n_chars
+ FROM ({TOPIC_WEEKS}) GROUP BY topic_key, week_ending""",
+        "topic_summary_upsert": f"""WITH n AS (SELECT topic_key, week_ending, {SET_HASH} AS item_hash, count(*) AS n FROM ({TOPIC_WEEKS}) GROUP BY ALL),
+ o AS (SELECT topic_key, week_ending, {SET_HASH} AS item_hash FROM ({TOPIC_WEEKS}) WHERE crawled_at < TIMESTAMPTZ '2025-06-01 00:00:00+00' GROUP BY ALL)
+ SELECT 7::BIGINT AS feed_id, topic_key, week_ending, topic_key || ': ' || n AS summary, n.item_hash, CASE WHEN n.item_hash = o.item_hash THEN TIMESTAMPTZ '2025-06-01 00:00:00+00' ELSE TIMESTAMPTZ '2026-03-01 00:00:00+00' END AS created_at FROM n LEFT JOIN o USING (topic_key, week_ending)""",
+        "source_crawls": """WITH c AS (SELECT source, max(crawled_at) AS seen, bool_or(api_refused_at IS NOT NULL) AS bad FROM items GROUP BY source, (crawled_at AT TIME ZONE 'UTC')::DATE),
+ k AS (SELECT source, max(seen) FILTER (NOT bad) AS ok, arg_max(bad, seen) AS bad, max(seen) AS last FROM c GROUP BY source), r AS (SELECT c.source, count(*) FILTER (c.bad AND (ok IS NULL OR seen > ok)) AS n FROM c JOIN k USING (source) GROUP BY c.source)
+ SELECT key, CASE WHEN k.source IS NULL THEN crawl_status WHEN bad THEN 'error' ELSE 'ok' END AS crawl_status, CASE WHEN k.source IS NULL THEN crawl_error WHEN bad THEN 'refused' END AS crawl_error,
+  (CASE WHEN k.source IS NULL THEN consecutive_failures ELSE n + CASE WHEN ok IS NULL THEN coalesce(consecutive_failures, 0) ELSE 0 END END)::BIGINT AS consecutive_failures, coalesce(last, last_crawled_at) AS last_crawled_at
+ FROM sources s LEFT JOIN k ON k.source = s.key LEFT JOIN r ON r.source = s.key""",
         "weekly_snapshots": """SELECT source, published_date + ((7 - dayofweek(published_date)) % 7)::INT AS week_ending, string_agg(id::VARCHAR, ',' ORDER BY id) AS item_ids, count(*) AS n_items
  FROM items WHERE published_date IS NOT NULL GROUP BY 1, 2""",
         "source_failures": """WITH o AS (SELECT user_id, max(struct_pack(ts := ts, event_id := event_id)) FILTER (event_type <> 'error') AS last_ok FROM events GROUP BY user_id)

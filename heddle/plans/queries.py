@@ -185,7 +185,7 @@ def populated_topics(spark, d):
 
 
 def filter_relevant(spark, d):
-    return _verdicts(spark, d).where(F.col("relevant") & (F.col("subtopic") == "fair_rules")).select("item_id", "confidence")
+    return classify.relevant_in(_verdicts(spark, d), "fair_rules").select("item_id", "confidence")
 
 
 def category_audit(spark, d):
@@ -246,11 +246,9 @@ def future_dates(spark, d):
 
 
 def storage_rows(spark, d):
-    """Items as they are stored: null texts as "", only images and keyword scores of the metadata."""
-    items = table(spark, d, "items")
-    text = lambda c: F.coalesce(c, F.lit("")).alias(c)
+    rows = upsert.storage_rows(table(spark, d, "items"))
     meta = F.from_json("raw_metadata", "images array<string>, keyword_scores string")
-    return items.select("id", text("abstract"), text("authors"), text("source_id"), text("source_name"), F.coalesce(F.size(meta["images"]), F.lit(0)).alias("n_images"), meta["keyword_scores"].isNotNull().alias("has_scores"))
+    return rows.select("id", "abstract", "authors", "source_id", "source_name", F.coalesce(F.size(meta["images"]), F.lit(0)).alias("n_images"), meta["keyword_scores"].isNotNull().alias("has_scores"))
 
 
 def needs_abstract(spark, d):
@@ -266,7 +264,7 @@ def summary_candidates(spark, d):
 
 
 def refused_candidates(spark, d):
-    return table(spark, d, "items").where("api_refused_at is not null and length(content) > 0").select("id", "api_refusal_type")
+    return summaries.refused(table(spark, d, "items")).select("id", "api_refusal_type")
 
 
 def summarized(spark, d):
@@ -353,6 +351,27 @@ def topic_prompts(spark, d):
     return summaries.topic_prompts(items, t).select("topic_key", "item_hash", "n_items", F.length("prompt").cast("bigint").alias("n_chars"))
 
 
+def _weekly(items, t):
+    return summaries.topic_prompts(items, t, week=dates.week_ending(F.col("published_date")), link=T.deep_link("https://reader.example/", F.lit("daily"), F.col("id")))
+
+
+def topic_week_prompts(spark, d):
+    """A prompt a topic and week, with a link to each item."""
+    items, t = _t(spark, d, "items", "item_topics")
+    return _weekly(items, t).select("topic_key", "week_ending", "item_hash", "n_items", F.length("prompt").cast("bigint").alias("n_chars"))
+
+
+def topic_summary_upsert(spark, d):
+    """Summaries of items crawled before a day, stored by feed, topic and week, and those of all items laid over them where the set of items is another."""
+    items, t = _t(spark, d, "items", "item_topics")
+    told = lambda p: p.withColumn("summary", F.concat("topic_key", F.lit(": "), F.col("n_items").cast("string")))
+    early = told(_weekly(items.where(F.col("crawled_at") < dt.datetime(2025, 6, 1, tzinfo=dt.timezone.utc)), t)).withColumn("status", F.lit("miss"))
+    none = spark.createDataFrame([], "id bigint, feed_id bigint, topic_key string, week_ending date, summary string, item_hash string, created_at timestamp")
+    cache = materialize(summaries.stored(none, early, 7, dt.datetime(2025, 6, 1, tzinfo=dt.timezone.utc)))
+    now_ = feed.cache_status(told(_weekly(items, t)), cache, ["topic_key", "week_ending"])
+    return summaries.stored(cache, now_, 7, NOW).select("feed_id", "topic_key", "week_ending", "summary", "item_hash", "created_at")
+
+
 def topic_summaries(spark, d):
     """Summaries of all topics, by a writer that tells their length, beside a cache made before late topics came."""
     items, t = _t(spark, d, "items", "item_topics")
@@ -381,7 +400,7 @@ def crawl_counters(spark, d):
 
 def usage_rollup(spark, d):
     e = table(spark, d, "events").select(F.col("event_type").alias("service"), F.get_json_object("props", "$.k").cast("bigint").alias("tokens"), "value")
-    return e.groupBy("service").agg(F.count("*").alias("n_calls"), F.sum("tokens").alias("tokens"), F.round(F.sum("value"), 2).alias("cost")).orderBy(F.col("cost").desc())
+    return upsert.usage(e, "service", "tokens", "value")
 
 
 def source_validation(spark, d):
@@ -400,8 +419,14 @@ def failing_sources(spark, d):
 
 def sources_by_crawler(spark, d):
     items, s = _t(spark, d, "items", "sources")
-    per = items.groupBy("source").agg(F.count("*").alias("n"))
-    return s.join(per, s["key"] == per["source"], "left").groupBy("crawler_type").agg(F.count("*").alias("n_sources"), F.sum(F.coalesce("n", F.lit(0))).alias("n_items"))
+    return definitions.by_crawler(s, items)
+
+
+def source_crawls(spark, d):
+    """The sources after crawls, one a source and day crawled, which failed where an item was refused on it."""
+    items, s = _t(spark, d, "items", "sources")
+    crawls = items.groupBy("source", F.to_date("crawled_at").alias("day")).agg(F.max("crawled_at").alias("at"), F.count("*").alias("n_items"), F.max(F.when(F.col("api_refused_at").isNotNull(), "refused")).alias("error"))
+    return upsert.crawls_written(s, crawls).select("key", "crawl_status", "crawl_error", F.col("consecutive_failures").cast("bigint").alias("consecutive_failures"), "last_crawled_at")
 
 
 # documents derived from the items, read again
@@ -459,36 +484,30 @@ def listing_items(spark, d):
 # streams over the events
 
 
-def _event_stream(spark, d):
-    """The events as four files that came one after the other."""
+def _streamed(spark, d, made, mode, key):
+    """What a stream over the events leaves in ``out``, which came as four parts, a run of the stream over the files of each, from one checkpoint."""
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     folder = scratch(spark, "events")
+    come, out = f"{folder}/in", f"{folder}/out"
     low, high = e.agg(F.min("ts"), F.max("ts")).first()
     for i in range(4):
         part = e if low is None else e.where(F.floor((F.col("ts").cast("double") - low.timestamp()) / max(1e-6, high.timestamp() - low.timestamp() + 1e-3) * 4) == i)
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(folder), folder
+        part.write.mode("append").parquet(come)
+        streams.run_available(made(spark.readStream.schema(e.schema).parquet(come)), lambda b, n: b.write.mode("overwrite").parquet(f"{out}/b={n}"), f"{folder}/check", mode)
+    return spark.read.schema(f"{key}, b bigint").parquet(out)
 
 
 def stream_first_seen(spark, d):
-    """The first event of each user and type as a stream sees them, four files one after the other."""
-    stream, folder = _event_stream(spark, d)
-    first = streams.first_seen(stream.withColumn("key", F.concat_ws("/", F.col("user_id").cast("string"), "event_type")), "key", "ts", 30).select("key")
-    out = f"{folder}-out"
-    streams.run_available(first, lambda b, n: b.write.mode("overwrite").parquet(f"{out}/b={n}"), f"{folder}-check")
-    return spark.read.schema("key string").parquet(out).select("key").groupBy("key").agg(F.count("*").alias("n"))
+    """The first event of each user and type as a stream sees them, in four parts one after the other."""
+    keyed = lambda s: s.withColumn("key", F.concat_ws("/", F.col("user_id").cast("string"), "event_type"))
+    got = _streamed(spark, d, lambda s: streams.first_seen(keyed(s), "key", "ts", 30).select("key"), "append", "key string")
+    return got.groupBy("key").agg(F.count("*").alias("n"))
 
 
 def stream_failures(spark, d):
     """Failures in a row by user, as a stream leaves them after its last batch."""
-    stream, folder = _event_stream(spark, d)
-    runs = streams.failure_runs(stream, "user_id", F.col("event_type") == "error", "ts", "event_id")
-    out = f"{folder}-out"
-    streams.run_available(runs, lambda b, n: b.write.mode("overwrite").parquet(f"{out}/b={n}"), f"{folder}-check", "update")
-    last = spark.read.schema("source string, consecutive_failures bigint, b bigint").parquet(out)
-    return last.groupBy(F.col("source").cast("bigint").alias("source")).agg(F.max_by("consecutive_failures", "b").alias("consecutive_failures"))
-
-
+    got = _streamed(spark, d, lambda s: streams.failure_runs(s, "user_id", F.col("event_type") == "error", "ts", "event_id"), "update", "source string, consecutive_failures bigint")
+    return got.groupBy(F.col("source").cast("bigint").alias("source")).agg(F.max_by("consecutive_failures", "b").alias("consecutive_failures"))
 
 
 def _as_text(query):

@@ -40,3 +40,9 @@ def enabled(sources: DataFrame, crawler_type: str | None = None, subtopic: str |
 def failing(sources: DataFrame, least: int = 3) -> DataFrame:
     """The enabled sources that failed at least so often in a row, most failures first."""
     return sources.where(F.col("is_enabled") & (F.col("consecutive_failures") >= least)).orderBy(F.col("consecutive_failures").desc(), "key")
+
+
+def by_crawler(sources: DataFrame, items: DataFrame) -> DataFrame:
+    """``crawler_type, n_sources, n_items``, sources without items too."""
+    per = items.groupBy(F.col("source").alias("key")).agg(F.count("*").alias("_n"))
+    return sources.select("key", "crawler_type").join(per, "key", "left").groupBy("crawler_type").agg(F.count("*").alias("n_sources"), F.sum(F.coalesce("_n", F.lit(0))).alias("n_items"))

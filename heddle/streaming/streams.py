@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,21 +27,42 @@ def counts_by_window(stream: DataFrame, time: str, by: list[str], late: str = "1
     return stream.withWatermark(time, late).groupBy(F.window(time, width).alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("window_start"), *by, "n")
 
 
-def failure_runs(events: DataFrame, source: str, failed: F.Column, time: str, order: str) -> DataFrame:
-    """``source, consecutive_failures``, updated with each batch: +1 for a failure, 0 after a success, in the order of time and ``order`` within a batch."""
+STATE = "older bigint, ok_at bigint, ok_nr bigint, ats array<bigint>, nrs array<bigint>"
+
+
+def failure_runs(events: DataFrame, source: str, failed: F.Column, time: str, order: str, late: str = "30 days") -> DataFrame:
+    """``source, consecutive_failures``, updated with each batch: the failures after a source's last success, by time and the whole number ``order``.
+
+    Events may come in any order up to ``late`` after the newest; those still later are left out. The state is the last success, the failures after
+    it that the watermark hasn't passed, by time, and the number of those it has; batches are folded a piece at a time, so no frame holds a source.
+    """
+
+    def after(ats, nrs, at, nr):
+        return (ats > at) | ((ats == at) & (nrs > nr))
 
     def fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n = state.get[0] if state.exists else 0
-        rows = pd.concat(list(batches)).sort_values(["at", "nr"])
-        ok = rows.index[~rows["failed"].to_numpy()]
-        marks = rows["failed"].to_numpy()
-        last = len(marks) - 1 - marks[::-1].argmin() if len(ok) else -1
-        n = (n if last < 0 else 0) + int(marks[last + 1 :].sum())
-        state.update((n,))
-        yield pd.DataFrame({"source": [key[0]], "consecutive_failures": [n]})
-
-    rows = events.select(F.col(source).cast("string").alias("source"), failed.alias("failed"), F.col(time).alias("at"), F.col(order).alias("nr"))
-    return rows.groupBy("source").applyInPandasWithState(fold, "source string, consecutive_failures bigint", "n bigint", "update", GroupStateTimeout.NoTimeout)
+        mark = max(0, state.getCurrentWatermarkMs()) * 1000
+        older, at, nr, ats, nrs = state.get if state.exists else (0, -(2**63), -(2**63), [], [])
+        ats, nrs = np.array(ats, "int64"), np.array(nrs, "int64")
+        for b in batches:
+            b = b[b["us"] >= mark]
+            ok = b[~b["failed"]]
+            if len(ok):
+                new = max(zip(ok["us"], ok["nr"]))
+                if new > (at, nr):
+                    at, nr, older = int(new[0]), int(new[1]), 0
+            bad = b[b["failed"]]
+            ats, nrs = np.concatenate([ats, bad["us"].to_numpy("int64")]), np.concatenate([nrs, bad["nr"].to_numpy("int64")])
+            kept = after(ats, nrs, at, nr)
+            ats, nrs = ats[kept], nrs[kept]
+        passed = ats < mark
+        older += int(passed.sum())
+        ats, nrs = ats[~passed], nrs[~passed]
+        state.update((older, at, nr, ats.tolist(), nrs.tolist()))
+        yield pd.DataFrame({"source": [key[0]], "consecutive_failures": [older + len(ats)]})
+
+    rows = events.withWatermark(time, late).where(F.col(time).isNotNull()).select(F.col(source).cast("string").alias("source"), F.coalesce(failed, F.lit(False)).alias("failed"), F.unix_micros(time).alias("us"), F.coalesce(F.col(order).cast("bigint"), F.lit(0)).alias("nr"), time)
+    return rows.groupBy("source").applyInPandasWithState(fold, "source string, consecutive_failures bigint", STATE, "update", GroupStateTimeout.NoTimeout)
 
 
 def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:

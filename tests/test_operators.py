@@ -1,8 +1,10 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
+from heddle.functions import text
 from heddle.operators import classify, dedup, feed, scoring, summaries, upsert
 from heddle.operators.feed import FeedFilter
 from heddle.operators.taxonomy import Taxonomy, Topic
@@ -263,3 +265,36 @@ def test_topic_summaries(spark):
 
     out = {r.topic_key: (r.summary, r.status) for r in summaries.topic_summaries(prompts, cached, {}, writer).collect()}
     assert out == {"law": ("kept", "hit"), "ai_safety": ("On AI Safety", "miss"), "bad": ("1 recent items on Bad.", "failed")} and asked.value == 2
+
+
+def test_crawls_written(spark):
+    sources = spark.createDataFrame([("a", "ok", None, 0, None, "x"), ("b", "error", "old", 2, None, "x"), ("c", "error", "old", None, None, "x"), ("d", "pending", None, 4, None, "x")], "key string, crawl_status string, crawl_error string, consecutive_failures int, last_crawled_at timestamp, at string")
+    t = lambda d: dt.datetime(2026, 1, d)
+    crawls = spark.createDataFrame([("a", t(1), 3, "boom"), ("a", t(2), 0, None), ("b", t(1), 5, "boom"), ("b", t(2), None, "bang"), ("c", t(1), 1, ""), ("c", t(2), 1, "late"), ("gone", t(1), 1, None), (None, t(1), 1, None)], "source string, at timestamp, n_items int, error string")
+    got = {r.key: (r.crawl_status, r.crawl_error, r.consecutive_failures, r.last_crawled_at) for r in upsert.crawls_written(sources, crawls).collect()}
+    assert got == {"a": ("empty", None, 0, t(2)), "b": ("error", "bang", 4, t(2)), "c": ("error", "late", 1, t(2)), "d": ("pending", None, 4, None)}
+    assert upsert.crawls_written(sources, crawls.limit(0)).count() == 4 and upsert.crawls_written(sources.limit(0), crawls).count() == 0
+
+
+def test_storage_rows(spark):
+    rows = [(1, None, "B Lee", "w7", None, "Tides", "2026-01-02", '{"images": ["u"], "other": 1, "keyword_scores": {"k": 0.5}}'), (2, "A", "B", None, "s", None, None, None), (3, "", None, None, None, None, "soon", "broken")]
+    df = spark.createDataFrame(rows, "id int, authors string, author string, paper_number string, source_id string, substack_name string, date string, raw_metadata string")
+    df = df.withColumns({"abstract": F.lit(None).cast("string"), "content": F.lit("c"), "date": F.try_to_date("date", "yyyy-MM-dd")})
+    got = {r.id: r for r in upsert.storage_rows(df).collect()}
+    assert (got[1].authors, got[1].source_id, got[1].source_name, got[1].published_date, got[1].abstract) == ("B Lee", "w7", "Tides", dt.date(2026, 1, 2), "")
+    assert json.loads(got[1].raw_metadata) == {"images": ["u"], "keyword_scores": {"k": 0.5}} and got[2].authors == "A" and got[2].source_id == "s" and got[3].published_date is None
+    assert upsert.storage_rows(df.select("id", "abstract", "content").limit(0)).count() == 0
+
+
+def test_weekly_prompts_and_stored_summaries(spark):
+    items = spark.createDataFrame([(1, "T", "s", "", "abc", dt.date(2026, 3, 2)), (2, None, None, "N", None, dt.date(2026, 3, 8)), (3, "U", "s", None, "d", dt.date(2026, 3, 9)), (4, "V", "s", None, "d", None)], "id int, title string, source string, source_name string, abstract string, published_date date")
+    topics = spark.createDataFrame([(1, "k"), (1, "k"), (2, "k"), (3, "k"), (4, "k"), (9, "k"), (None, "k")], "item_id int, topic_key string")
+    week = F.next_day(F.date_sub("published_date", 1), "SUN")
+    p = {r.week_ending: r for r in summaries.topic_prompts(items, topics, week=week, link=text.deep_link("https://x.example/", F.lit("f"), F.col("id"))).collect()}
+    assert p[dt.date(2026, 3, 8)].prompt == "- T (s): abc\n  https://x.example/digests/f#item-1\n- Untitled (N): \n  https://x.example/digests/f#item-2" and p[dt.date(2026, 3, 15)].n_items == 1 and len(p) == 2
+    rows = [("k", dt.date(2026, 3, 8), "h2", "new", "stale"), ("m", dt.date(2026, 3, 8), "h3", "first", "miss"), ("f", dt.date(2026, 3, 8), "h4", "3 recent items", "failed"), ("g", dt.date(2026, 3, 8), "h5", "same", "hit")]
+    new = spark.createDataFrame(rows, "topic_key string, week_ending date, item_hash string, summary string, status string")
+    t0, t1 = dt.datetime(2026, 3, 1), dt.datetime(2026, 3, 9)
+    cache = spark.createDataFrame([(5, 1, "k", dt.date(2026, 3, 8), "old", "h1", t0), (6, 1, "g", dt.date(2026, 3, 8), "same", "h5", t0), (7, 2, "k", dt.date(2026, 3, 8), "of another feed", "h1", t0)], "id bigint, feed_id bigint, topic_key string, week_ending date, summary string, item_hash string, created_at timestamp")
+    got = {(r.feed_id, r.topic_key): (r.summary, r.created_at, r.id) for r in summaries.stored(cache, new, 1, t1).collect()}
+    assert got[1, "k"] == ("new", t1, 5) and got[1, "g"] == ("same", t0, 6) and got[2, "k"] == ("of another feed", t0, 7) and got[1, "m"][:2] == ("first", t1) and len(got) == 4
