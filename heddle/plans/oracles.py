@@ -56,12 +56,13 @@ def _queue(days: int) -> str:
 TIMES = {
     **{q: ["published_date"] for q in ("feed_items", "feed_any_topic", "feed_min_confidence", "feed_topic_uncorrelated", "feed_connected_only", "rss_items", "registry_items")},
     **{q: ["day"] for q in ("unclassified_queue", "unclassified_topn", "rss_dates", "flexible_dates", "future_dates")},
-    "last_boundary": ["last_at"], "item_upsert": ["published_date", "crawled_at"], "classification_upsert": ["classified_at"], "weekly_snapshots": ["week_ending"], "topic_week_prompts": ["week_ending"], "topic_summary_upsert": ["week_ending", "created_at"], "source_crawls": ["last_crawled_at"], "listing_items": ["first_day"],
+    "last_boundary": ["last_at"], "item_upsert": ["published_date", "crawled_at"], "store_upsert": ["published_date", "crawled_at"], "classification_upsert": ["classified_at"], "weekly_snapshots": ["week_ending"], "topic_week_prompts": ["week_ending"], "topic_summary_upsert": ["week_ending", "created_at"], "source_crawls": ["last_crawled_at"], "listing_items": ["first_day"],
 }
 
 
 def oracle_sql() -> dict[str, str]:
     out = _sql()
+    out["store_upsert"] = out["item_upsert"]  # the store changes nothing in the result
     for name, columns in TIMES.items():
         text = ", ".join(f"strftime({c if c not in ('crawled_at', 'classified_at', 'created_at', 'last_crawled_at') else c + " AT TIME ZONE 'UTC'"}, '{'%Y-%m-%d %H:%M:%S' if c.endswith('at') else '%Y-%m-%d'}') AS {c}" for c in columns)
         out[name] = f"SELECT * REPLACE ({text}) FROM ({out[name]})"

@@ -17,6 +17,7 @@ from heddle.operators.taxonomy import Taxonomy
 from heddle.plans import readers
 from heddle.plans.oracles import oracle_sql
 from heddle.sources import definitions, feeds, listings, works
+from heddle.sources.store import Store
 from heddle.streaming import streams
 
 NOW = dt.datetime(2026, 3, 1, tzinfo=dt.timezone.utc)
@@ -294,6 +295,18 @@ def item_upsert(spark, d):
     return upsert.upsert(old, dedup.first_by(new, "url", ["crawled_at"]), ["url"], rules).select("url", "id", "title", "abstract", "published_date", "crawled_at", "raw_metadata")
 
 
+def store_upsert(spark, d):
+    """The same through stored tables kept in buckets of addresses: the first crawls committed whole, of the later ones only the buckets they touch."""
+    old, new = (dedup.first_by(x, "url", ["crawled_at"]) for x in _older_newer(spark, d))
+    store = Store(spark, scratch(spark, "store"), buckets=32)
+    store.write("items", old)
+    new = materialize(new)
+    touched = sorted(r[0] for r in new.select(store.bucket("items", F.col("url"))).distinct().collect())
+    rules = {"id": upsert.keep, "published_date": upsert.fill, "api_refused_at": upsert.fill, "api_refusal_type": upsert.fill, "raw_metadata": upsert.if_not_empty}
+    store.commit({"items": upsert.upsert(store.read("items", touched), new, ["url"], rules)}, {"items": touched})
+    return store.read("items").select("url", "id", "title", "abstract", "published_date", "crawled_at", "raw_metadata")
+
+
 def classification_upsert(spark, d):
     c = table(spark, d, "classifications")
     cut = dt.datetime(2025, 9, 1, tzinfo=dt.timezone.utc)

@@ -130,4 +130,30 @@ def test_a_commit_that_stops_between_its_steps_leaves_the_table_as_it_was(spark,
     assert [r.id for r in s.read("item_topics").collect()] == [1]
     s.write("item_topics", row(3))
     s.write("item_topics", row(4))
-    assert [r.id for r in s.read("item_topics").collect()] == [4] and sorted(s._numbers("item_topics")) == [1, 2, 3]
+    assert [r.id for r in s.read("item_topics").collect()] == [4] and sorted(s._numbers()) == [1, 2, 3]
+
+
+def test_commits_of_several_tables_and_two_writers(spark, tmp_path):
+    a, b = (Store(spark, f"file://{tmp_path}/root") for _ in range(2))
+    topic = lambda i: spark.createDataFrame([(i, i, "a", "x")], TABLES["item_topics"])
+    verdict = spark.createDataFrame([(1, 1, "a", True)], "id bigint, item_id bigint, subtopic string, relevant boolean")
+    with pytest.raises(Exception, match="boom"):
+        a.commit({"item_topics": topic(1), "classifications": verdict.withColumn("subtopic", F.raise_error(F.lit("boom")).cast("string"))})
+    assert a.read("item_topics").count() == 0 and a._numbers() == []
+    a.commit({"item_topics": topic(1), "classifications": verdict})
+    assert a.read("item_topics").count() == b.read("classifications").count() == 1
+    b.read("item_topics")
+    a.write("item_topics", topic(2))
+    with pytest.raises(RuntimeError, match="another writer"):
+        b.write("item_topics", topic(3))
+    b.write("network_connections", spark.createDataFrame([], TABLES["network_connections"]))
+    assert [r.id for r in b.read("item_topics").collect()] == [2]
+
+
+def test_changes_are_applied_once(spark, tmp_path):
+    s = Store(spark, f"file://{tmp_path}/root")
+    add = lambda i: lambda s: {"item_topics": s.read("item_topics").unionByName(spark.createDataFrame([(i, i, "a", "x")], TABLES["item_topics"]))}
+    now = dt.datetime(2026, 3, 1)
+    assert s.apply({"b": add(2), "a": add(1)}, now, dry=True) == ["a", "b"] and s.read("item_topics").count() == 0
+    assert s.apply({"b": add(2), "a": add(1)}, now) == ["a", "b"] and s.apply({"a": add(1), "c": add(3)}, now) == ["c"]
+    assert sorted(r.id for r in s.read("item_topics").collect()) == [1, 2, 3]
