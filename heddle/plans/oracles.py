@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from heddle.functions.text import BOILERPLATE
 from heddle.plans import readers
 
 WS = r"[\s\p{Z}]+"
@@ -170,6 +171,21 @@ def _sql() -> dict[str, str]:
  FROM items WHERE length(title) > 0 AND length(url) > 0 AND (crawled_at AT TIME ZONE 'UTC')::DATE >= DATE '2025-02-01' GROUP BY 1, 2""",
         "registry_items": rf"""SELECT '10.1000/' || id AS source_id, 'https://doi.org/10.1000/' || id AS url, trim(regexp_replace(title, '{WS}', ' ', 'g')) AS title, 'Ann ' || source AS authors,
  CASE WHEN published_date IS NULL OR published_date > DATE '2026-03-08' THEN DATE '2026-03-01' ELSE published_date END AS published_date FROM items WHERE length(title) > 0""",
+        "extractive_abstract": rf"""WITH p AS (SELECT id, trim(regexp_replace(content, '{WS}', ' ', 'g')) AS whole, trim(regexp_replace(regexp_replace(content, '<[^>]+>', ' ', 'g'), '{WS}', ' ', 'g')) AS plain FROM items),
+ k AS (SELECT id, whole, list_filter(list_transform(string_split(regexp_replace(plain, '([.!?])\s+([A-Z])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda x: trim(x)), lambda x: length(x) BETWEEN 30 AND 200 AND NOT regexp_matches(x, '{BOILERPLATE}')) AS kept FROM p),
+ c AS (SELECT id, whole, list_transform(kept, lambda x: CASE WHEN regexp_matches(x, '[.!?]$') THEN x ELSE regexp_replace(x, '[,;:]+$', '') || '.' END) AS closed FROM k),
+ b AS (SELECT id, whole, list_transform(closed, lambda x: CASE WHEN length(x) > 95 THEN regexp_replace(regexp_replace(substr(x, 1, 90), ' [^ ]*$', ''), '[.,;:]+$', '') || '...' ELSE x END) AS bullets FROM c)
+ SELECT id, CASE WHEN length(whole) >= 100 AND len(bullets) >= 2 THEN array_to_string(list_transform(bullets[1:3], lambda x: '- ' || x), chr(10)) END AS bullets FROM b""",
+        "category_audit": f"""WITH RECURSIVE {VERDICTS}, {SCORES.split('s AS')[0].strip().rstrip(',')},
+ filled AS (SELECT DISTINCT subtopic, unnest(list_filter(topics, lambda t: starts_with(t, 'general'))) AS topic FROM v WHERE relevant),
+ h AS (SELECT x.id AS item_id, k.subtopic, k.topic, k.ordinal FROM x CROSS JOIN taxonomy k WHERE len(list_filter(k.keywords[1:8], lambda w: contains(x.t, lower(w)))) > 0
+  AND NOT EXISTS (SELECT 1 FROM filled f WHERE f.subtopic = k.subtopic AND f.topic = k.topic) AND EXISTS (SELECT 1 FROM v WHERE v.item_id = x.id AND v.subtopic = k.subtopic AND NOT coalesce(v.relevant, false))),
+ first AS (SELECT *, row_number() OVER (PARTITION BY subtopic ORDER BY item_id, ordinal) AS n FROM (SELECT *, row_number() OVER (PARTITION BY subtopic, topic ORDER BY item_id) AS r FROM h) WHERE r <= (SELECT count(*) FROM taxonomy)),
+ walk AS (SELECT DISTINCT subtopic, 0::BIGINT AS n, []::VARCHAR[] AS taken, NULL::BIGINT AS item_id, NULL::VARCHAR AS topic, NULL::BIGINT AS last FROM first
+  UNION ALL SELECT w.subtopic, f.n, CASE WHEN list_contains(taken, f.topic) OR last IS NOT DISTINCT FROM f.item_id THEN taken ELSE list_append(taken, f.topic) END,
+   CASE WHEN list_contains(taken, f.topic) OR last IS NOT DISTINCT FROM f.item_id THEN NULL ELSE f.item_id END, CASE WHEN list_contains(taken, f.topic) OR last IS NOT DISTINCT FROM f.item_id THEN NULL ELSE f.topic END,
+   CASE WHEN list_contains(taken, f.topic) OR last IS NOT DISTINCT FROM f.item_id THEN last ELSE f.item_id END FROM walk w JOIN first f ON f.subtopic = w.subtopic AND f.n = w.n + 1)
+ SELECT item_id, subtopic, topic FROM walk WHERE item_id IS NOT NULL""",
         "enriched_items": """SELECT id, coalesce(length(coalesce(content, '')) < 500 AND length(d.t) > CASE WHEN length(coalesce(content, '')) = 0 THEN length(coalesce(abstract, '')) ELSE length(content) END, false) AS enriched,
  length(CASE WHEN coalesce(length(coalesce(content, '')) < 500 AND length(d.t) > CASE WHEN length(coalesce(content, '')) = 0 THEN length(coalesce(abstract, '')) ELSE length(content) END, false) THEN d.t ELSE content END)::BIGINT AS n_chars
  FROM items i LEFT JOIN (SELECT j.url, arg_max(text, length(text)) AS t FROM documents JOIN items j ON j.id = doc_id WHERE text IS NOT NULL GROUP BY j.url) d ON d.url = i.url""",

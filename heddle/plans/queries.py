@@ -446,10 +446,7 @@ def source_crawls(spark, d):
 
 
 def _xml(c: str) -> F.Column:
-    x = F.coalesce(F.col(c).cast("string"), F.lit(""))
-    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        x = F.replace(x, F.lit(a), F.lit(b))
-    return x
+    return readers.escaped(F.col(c))
 
 
 def rss_items(spark, d):
@@ -461,11 +458,11 @@ def rss_items(spark, d):
 
 
 def registry_items(spark, d):
-    """Items written as replies of a DOI registry, one per source and day crawled, and read."""
+    """Items written as replies of a DOI registry, fifty of a source to a reply, and read."""
     items = table(spark, d, "items")
     day = F.col("published_date")
     work = F.struct(F.array("title").alias("title"), F.concat(F.lit("10.1000/"), F.col("id")).alias("DOI"), F.concat(F.lit("<jats:p>"), F.coalesce("abstract", F.lit("")), F.lit("</jats:p>")).alias("abstract"), F.array(F.struct(F.lit("Ann").alias("given"), F.col("source").alias("family"))).alias("author"), F.struct(F.array(F.array(F.year(day), F.month(day), F.dayofmonth(day))).alias("date-parts")).alias("published"))
-    replies = items.groupBy("source", F.to_date("crawled_at").alias("day")).agg(F.to_json(F.struct(F.struct(F.collect_list(work).alias("items")).alias("message"))).alias("reply"))
+    replies = items.groupBy("source", F.floor(F.col("id") / readers.PAGE).alias("page")).agg(F.to_json(F.struct(F.struct(F.collect_list(work).alias("items")).alias("message"))).alias("reply"))
     return works.registry_works(replies, F.lit(DAY)).select("source_id", "url", "title", "authors", "published_date")
 
 
@@ -486,10 +483,10 @@ def enriched_items(spark, d):
 
 
 def listing_items(spark, d):
-    """A listing page per source and day that names each article twice, scraped by selectors and deduplicated by address."""
+    """Listing pages of a source, fifty items to a page, that name each article twice, scraped by selectors and deduplicated by address."""
     items = table(spark, d, "items").where("published_date is not null")
     entry = F.concat(F.lit("<li class='post card'><a class='to' href='/p/"), F.col("id").cast("string"), F.lit("'>"), _xml("title"), F.lit("</a><time datetime='"), F.col("published_date").cast("string"), F.lit("'>x</time></li>"))
-    pages = items.groupBy("source", F.to_date("crawled_at").alias("day")).agg(F.concat(F.lit("<ul>"), F.repeat(F.array_join(F.sort_array(F.collect_list(entry)), ""), F.lit(2)), F.lit("</ul>")).alias("html"))
+    pages = items.groupBy("source", F.floor(F.col("id") / readers.PAGE).alias("page")).agg(F.concat(F.lit("<ul>"), F.repeat(F.array_join(F.sort_array(F.collect_list(entry)), ""), F.lit(2)), F.lit("</ul>")).alias("html"))
     conf = F.lit('{"listing_url": "https://site.example/all", "article_selector": "ul li.post", "title_selector": "a.to", "url_selector": "a[href*=\'/p/\']", "date_selector": "time"}')
     return listings.listing_items(pages.select("source", conf.alias("crawl_config"), "html"), 2026, F.lit(dt.datetime(2025, 2, 1, tzinfo=dt.timezone.utc))).groupBy("source").agg(F.count("*").alias("n"), F.min("published_date").alias("first_day"))
 
