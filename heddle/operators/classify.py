@@ -99,6 +99,21 @@ def classify(items: DataFrame, taxonomy: Taxonomy, classifier: Classifier, size:
     return rows.mapInPandas(run, VERDICT)
 
 
+def batch_prompt(batch: list[dict], most: int | None = None) -> str:
+    """What a model is asked about a batch, beside taxonomy.prompt as its fixed part: the items by number, what is asked of each, and the form of the reply.
+
+    The same batch gives the same text. Null fields are left out. most: characters of content to show, for a model that takes no more.
+    """
+    parts = []
+    for i, x in enumerate(batch):
+        content = x.get("content") or ""
+        fields = [("Title", x.get("title")), ("Authors", x.get("authors")), ("Source", x.get("source")), ("Subtopics", ", ".join(sorted(x["subtopics"]))), ("Content", content if most is None else content[:most])]
+        parts.append("\n".join([f"### Item {i}", *[f"{name}: {value}" for name, value in fields if value]]))
+    one = {"relevant": True, "topics": ["topic_key"], "confidence": "high | medium | low", "reasoning": "one sentence"}
+    form = json.dumps({str(i): {s: one for s in sorted(x["subtopics"])} for i, x in enumerate(batch)}, indent=1)
+    return "\n\n".join([*parts, "Reply with JSON of this form only:", form])
+
+
 def keyword_classifier(taxonomy: Taxonomy, least: float = 0.1) -> Classifier:
     """A classifier without a model: relevant are the subtopics with a topic whose share of keywords is at least ``least``."""
 
@@ -174,4 +189,4 @@ def category_audit(hits: DataFrame, verdicts: DataFrame, taxonomy: Taxonomy) ->
     return first.groupBy("subtopic").applyInPandas(walk, "item_id bigint, subtopic string, topic string")
 
 
-__all__ = ["Classifier", "auto_tagged", "category_audit", "classify", "item_type", "keyword_classifier", "keyword_scores", "parse_reply", "populated", "relevance_counts", "relevant_in", "split_by_prefilter"]
+__all__ = ["Classifier", "auto_tagged", "batch_prompt", "category_audit", "classify", "item_type", "keyword_classifier", "keyword_scores", "parse_reply", "populated", "relevance_counts", "relevant_in", "split_by_prefilter"]

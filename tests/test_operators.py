@@ -298,3 +298,12 @@ def test_weekly_prompts_and_stored_summaries(spark):
     cache = spark.createDataFrame([(5, 1, "k", dt.date(2026, 3, 8), "old", "h1", t0), (6, 1, "g", dt.date(2026, 3, 8), "same", "h5", t0), (7, 2, "k", dt.date(2026, 3, 8), "of another feed", "h1", t0)], "id bigint, feed_id bigint, topic_key string, week_ending date, summary string, item_hash string, created_at timestamp")
     got = {(r.feed_id, r.topic_key): (r.summary, r.created_at, r.id) for r in summaries.stored(cache, new, 1, t1).collect()}
     assert got[1, "k"] == ("new", t1, 5) and got[1, "g"] == ("same", t0, 6) and got[2, "k"] == ("of another feed", t0, 7) and got[1, "m"][:2] == ("first", t1) and len(got) == 4
+
+
+def test_batch_prompt():
+    batch = [{"title": "A", "content": "long " * 10, "authors": None, "source": "s", "subtopics": ["b", "a"]}, {"title": None, "content": None, "authors": "Q", "source": None, "subtopics": []}]
+    told = classify.batch_prompt(batch, 4)
+    assert told.startswith("### Item 0\nTitle: A\nSource: s\nSubtopics: a, b\nContent: long\n\n### Item 1\nAuthors: Q\n\nReply") and "long long" in classify.batch_prompt(batch)
+    form = json.loads(told.partition("only:")[2])
+    assert list(form["0"]) == ["a", "b"] and form["1"] == {} and told == classify.batch_prompt([dict(reversed(x.items())) for x in batch], 4)
+    assert classify.parse_reply(told.partition("only:")[2])["0"]["a"]["relevant"] is True and classify.batch_prompt([]).endswith("{}")
