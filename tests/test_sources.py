@@ -33,6 +33,12 @@ def test_feed_items(spark):
     assert sorted(r.url[-1] for r in later.collect()) == ["1", "3"]
 
 
+def test_feeds_with_a_doctype():
+    body = "<rss><channel><item><title>T</title><link>https://x.example/1</link><description><![CDATA[of <!DOCTYPE html> and <!ENTITY]]></description></item></channel></rss>"
+    assert len(list(feeds.entries('<!DOCTYPE rss PUBLIC "-//X//DTD RSS 0.91//EN" "http://x.example/rss.dtd">' + body))) == 1 and len(list(feeds.entries(body))) == 1
+    assert list(feeds.entries('<!DOCTYPE rss [<!ENTITY a "aa">]>' + body)) == [] and list(feeds.entries('<!DOCTYPE rss [<!ENTITY % a SYSTEM "x">%a;]>' + body)) == []
+
+
 def test_preprint_and_paper_feeds(spark):
     got = {r.url: r for r in feeds.preprint_feed_items(docs(spark, ATOM, ATOM)).collect()}
     r = got["http://x.example/abs/0704.99x"]
